@@ -22,6 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,44 +45,65 @@ class Automaton:
     arcs: list[bytes]
     states: int
     suffix: str
-    longest: int
     pattern: str
     specials: dict[str, int]
     symbols: list[str] = field(default_factory=byte_symbols)
     cache_words: int = 300_000
     _cache: dict[str, bytes] = field(default_factory=dict)
+    _older: dict[str, bytes] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_cache": {}}
+        packed = zstandard.compress(b"".join(self.arcs), 3)
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"} | {"arcs": packed, "_cache": {}, "_older": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
+        flat, width = zstandard.decompress(state["arcs"]), (self.states + 7) // 8
+        self.arcs = [flat[i : i + width] for i in range(0, len(flat), width)]
         self.prepare()
 
     def prepare(self) -> Automaton:
+        """Tables that follow from the automaton: the arcs' labels as a trie, `_next` from node and symbol
+        to node, and the id of the label that ends in a node, inside a word and at its end."""
         self._split = regex.compile(self.pattern)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
+        self._next, self._inside, self._last = [{}], [-1], [-1]
+        for label, i in self.ids.items():
+            ends = bool(self.suffix) and label.endswith(self.suffix)
+            node = 0
+            for c in label[: -len(self.suffix)] if ends else label:
+                to = self._next[node].get(c)
+                if to is None:
+                    to = self._next[node][c] = len(self._next)
+                    self._next.append({})
+                    self._inside.append(-1)
+                    self._last.append(-1)
+                node = to
+            if ends or not self.suffix:
+                self._last[node] = i
+            if not ends:
+                self._inside[node] = i
         return self
 
     def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-split word, given in byte symbols."""
-        n, ids, state, arcs = len(word), self.ids, self.state, self.arcs
+        """Ids of one pre-split word, given in byte symbols: one pass from left to right."""
+        n, state, arcs, step, inside = len(word), self.state, self.arcs, self._next, self._inside
         reached, chosen, back = [0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        back[0] = 0
-        for i in range(1, n + 1):
-            tail = self.suffix if i == n else ""
-            for j in range(max(0, i - self.longest), i):
-                if back[j] < 0:
-                    continue
-                t = ids.get(word[j:i] + tail)
-                if t is not None:
-                    s = reached[j]
-                    if arcs[t][s >> 3] >> (s & 7) & 1:
-                        reached[i], chosen[i], back[i] = state[t], t, j
-                        break
-            else:
-                if i == n:
-                    raise ValueError(f"no path for {word!r}")
+        for j in range(n):
+            if back[j] < 0 and j:
+                continue
+            s = reached[j]
+            at, bit, node, i = s >> 3, s & 7, 0, j
+            while i < n:
+                node = step[node].get(word[i])
+                if node is None:
+                    break
+                i += 1
+                t = inside[node] if i < n else self._last[node]
+                if t >= 0 and arcs[t][at] >> bit & 1:
+                    reached[i], chosen[i], back[i] = state[t], t, j
+        if n and back[n] < 0:
+            raise ValueError(f"no path for {word!r}")
         out, i = [], n
         while i:
             out.append(chosen[i])
@@ -90,10 +112,14 @@ class Automaton:
 
     def _piece(self, piece: str) -> list[int]:
         """Ids of a text without special tokens: composed, lower case by single characters, split."""
-        text = "".join(c.lower() for c in unicodedata.normalize("NFC", piece)) if not piece.isascii() else piece.lower()
         out: list[int] = []
+        if piece.isascii() and piece.isprintable():  # such bytes stand for themselves
+            for word in self._split.findall(piece.lower()):
+                out += self.encode_word(word)
+            return out
+        text = "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
         for word in self._split.findall(text):
-            out += self.encode_word("".join(self.symbols[b] for b in word.encode("utf-8", "replace")))
+            out += self.encode_word("".join([self.symbols[b] for b in word.encode("utf-8", "replace")]))
         return out
 
     def _chunk(self, chunk: str) -> bytes:
@@ -111,17 +137,20 @@ class Automaton:
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers; nothing for a null.
 
-        No word of the split spans white space, so ids of the pieces between it are kept for reuse,
-        up to `cache_words` of at most 64 characters.
+        No word of the split spans white space, so ids of the pieces between it are kept for reuse: the
+        last `cache_words` of up to 64 characters, and those seen again of as many before them.
         """
-        cache, out = self._cache, []
+        cache, older, out = self._cache, self._older, []
         for chunk in (text or "").split() if not _ODD_SPACE.search(text or "") else _SPACE.split(text):
             ids = cache.get(chunk)
             if ids is None:
-                ids = self._chunk(chunk)
+                ids = older.get(chunk)
+                if ids is None:
+                    ids = self._chunk(chunk)
                 if len(chunk) <= 64:
                     if len(cache) >= self.cache_words:
-                        cache.clear()
+                        self._older = older = cache
+                        self._cache = cache = {}
                     cache[chunk] = ids
             out.append(ids)
         return b"".join(out)
@@ -176,8 +205,7 @@ def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix:
     labels = [names.get(i, "") for i in range(size)]
     for text, i in specials.items():
         labels[i] = text
-    longest = max(len(s) for s in vocab)
-    return Automaton(labels, dict(vocab), state.tolist(), [arcs[i, :width].tobytes() for i in range(size)], states, suffix, longest, pattern, dict(specials)).prepare()
+    return Automaton(labels, dict(vocab), state.tolist(), [arcs[i, :width].tobytes() for i in range(size)], states, suffix, pattern, dict(specials)).prepare()
 
 
 @lru_cache(maxsize=2)
