@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, warc, work
+from . import bpe, fingerprint, html_extract, langid, media, mixing, neardup, sharding, warc, work
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,10 +30,42 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    profiles = langid.learn(documents.where("not held_out"))
+    return langid.predict(documents.drop("lang"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.document_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html_extract": op2_html_extract,
     "op4_bpe": op4_bpe,
+    "op5_language_id": op5_language_id,
+    "op6_media": op6_media,
+    "op7_fingerprint": op7_fingerprint,
+    "op8_sharding": op8_sharding,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 SQL = {
