@@ -21,7 +21,7 @@ AT_ONCE = 8
 
 
 def _samples(term: str, group: str, weights: list[str]) -> list[Column]:
-    """AT_ONCE least values for each weight column: a row per group of samples goes in."""
+    """AT_ONCE least values for each column of weights' logarithms: a row per group of samples goes in."""
     out = []
     for j in range(AT_ONCE):
         h1 = f"xxhash64({term}, {group}, {j})"
@@ -31,7 +31,7 @@ def _samples(term: str, group: str, weights: list[str]) -> list[Column]:
         c = f"ln(34.657359027997264D - ln({u(h2, 0)} * {u(h2, 25)}))"
         b = f"((shiftrightunsigned({h1}, 50) * 16384D + shiftrightunsigned({h2}, 50)) / 268435456D)"
         for w in weights:
-            out.append(F.expr(f"min(case when {w} > 0 then {c} - {r} * (floor(ln({w}) / {r} + {b}) - {b} + 1D) end)").alias(f"{w}_{j}"))
+            out.append(F.expr(f"min({c} - {r} * (floor({w} / {r} + {b}) - {b} + 1D))").alias(f"{w}_{j}"))
     return out
 
 
@@ -42,7 +42,8 @@ def _signatures(terms: DataFrame, keys: list[str], weights: list[str], samples:
     result, without a shuffle.
     """
     groups = samples // AT_ONCE
-    spread = terms.withColumn("cws__group", F.explode(F.array(*[F.lit(i) for i in range(groups)])))
+    logs = terms.withColumns({w: F.expr(f"case when {w} > 0 then ln({w}) end") for w in weights})
+    spread = logs.withColumn("cws__group", F.explode(F.array(*[F.lit(i) for i in range(groups)])))
     least = spread.groupBy(*keys, "cws__group").agg(*_samples("term", "cws__group", weights), *rest)
     tokens = [F.expr("array(" + ", ".join(f"cast(xxhash64({w}_{j}) & 2147483647 as int)" for j in range(AT_ONCE)) + ")").alias(w) for w in weights]
     some = [F.col(f"{w}_0").isNotNull().alias(f"{w}_some") for w in weights]
@@ -66,14 +67,14 @@ def as_text(a: str) -> Column:
     return F.expr(f"array_join(transform({a}, x -> lower(lpad(hex(x), 8, '0'))), '')")
 
 
-def signatures(df: DataFrame, key: list[str], text: str = "text", samples: int = 64) -> DataFrame:
+def signatures(df: DataFrame, key: list[str], text: str = "text", samples: int = 32) -> DataFrame:
     """key and signature of each row's whole text; null texts have no words, rows alike in `key` count as one text."""
     words = df.select(*key, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+")).alias("word"))
     terms = words.withColumn("term", F.xxhash64("word")).groupBy(*key, "term").agg(F.sum(F.expr("if(word = '', 0, 1)")).alias("signature"))
     return _signatures(terms, key, ["signature"], samples, [])
 
 
-def edited_fingerprints(documents: DataFrame, samples: int = 64) -> DataFrame:
+def edited_fingerprints(documents: DataFrame, samples: int = 32) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with likenesses.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many of the next
