@@ -129,3 +129,21 @@ def _fitted(cap: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         return lengths.drop(columns="n").assign(passes=passes, once=[once.get(int(n), 0) for n in lengths["mix__size"]])
 
     return one
+
+
+def apply_mix(documents: DataFrame, key: str = "doc_id", source: str = "source", **options: object) -> DataFrame:
+    """The documents that the mix takes, each as often as it does, with their own columns.
+
+    Rows that repeat a key share what their key takes evenly. A null key is a key like any other.
+    """
+    taken = mix(documents, key, source, **options).groupBy(key).agg(F.sum("times").alias("mix__times"), F.count(F.lit(1)).alias("mix__n")).withColumnRenamed(key, "mix__of")
+    joined = documents.join(taken.where("mix__times > 0").hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("mix__of"))).drop("mix__of")
+    single = joined.where("mix__n = 1").drop("mix__n")
+    repeated = (
+        joined.where("mix__n > 1")
+        .withColumn("mix__i", F.expr(f"row_number() over (partition by {key} order by {source})"))
+        .withColumn("mix__times", F.expr("mix__times div mix__n + if(mix__i <= mix__times % mix__n, 1, 0)"))
+        .drop("mix__n", "mix__i")
+        .where("mix__times > 0")
+    )
+    return single.unionByName(repeated).withColumn("mix__copy", F.expr("explode(sequence(1, mix__times))")).drop("mix__copy", "mix__times")

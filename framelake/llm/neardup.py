@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -34,7 +33,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Hash of a word, kept for the words of late: two generations of up to `limit`."""
 
-    limit = 400_000
+    limit = 100_000
 
     def __init__(self) -> None:
         super().__init__()
@@ -123,15 +122,33 @@ def sketches(documents: DataFrame, key: str, text: str, width: int, bands: int,
     return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(sketch, "doc long, k1 long, k2 long, n long, buckets array<long>")
 
 
-def shingle_sets(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """doc, n and its full set as sorted 64-bit hashes."""
+def shingle_sets(documents: DataFrame, key: str, text: str, width: int, batch_bytes: int = 8 << 20) -> DataFrame:
+    """doc, n and its full set as sorted 64-bit hashes, for each text that has words. Batches are small,
+    as sets are larger than their texts."""
 
-    @F.pandas_udf("array<long>")
-    def sets(texts: pd.Series) -> pd.Series:
-        with np.errstate(over="ignore"):
-            return texts.map(lambda t: shingle_set(words(t), width).view(np.int64), na_action=None)
+    def batch(docs: list[int | None], sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = [len(s) for s in sets]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        flat = pa.array(np.concatenate(sets).view(np.int64), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)], ["doc", "n", "shingles"])
 
-    return documents.select(F.col(key).cast("long").alias("doc"), sets(F.col(text).cast("string")).alias("shingles"))
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for b in batches:
+                docs, sets, held = [], [], 0
+                for doc, t in zip(b.column(0), b.column(1), strict=True):
+                    found = shingle_set(words(t.as_py()), width)
+                    if len(found):
+                        docs.append(doc.as_py())
+                        sets.append(found)
+                        held += found.nbytes
+                    if held > batch_bytes:
+                        yield batch(docs, sets)
+                        docs, sets, held = [], [], 0
+                if docs:
+                    yield batch(docs, sets)
+
+    return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(make, "doc long, n long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -191,7 +208,7 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 20, rows: int = 4) -> DataFrame:
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4) -> DataFrame:
     """key, n_shingles, component_id, kept of each row.
 
     Documents are linked when their sets of `width`-word shingles have a Jaccard similarity of `percent`
@@ -211,7 +228,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
     asked = shared.select(F.col("rep").alias("doc")).distinct()
     texts = documents.select(F.col(key).cast("long").alias(key), F.col(text).alias(text)).join(asked.hint("shuffle_hash"), F.col(key) == F.col("doc"), "left_semi")
-    sets = work.materialize(shingle_sets(texts, key, text, width).select("doc", F.expr("cast(size(shingles) as bigint) as n"), "shingles").where("n > 0"), "sets")
+    sets = work.materialize(shingle_sets(texts, key, text, width), "sets")
     links = work.materialize(verified(pairs, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     # a key that repeats with other texts ties their classes together
     of = named.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc", "rep")
@@ -236,3 +253,10 @@ def _labelled(made: DataFrame, classes: DataFrame, labels: DataFrame, key: str)
     component: Column = F.when(F.col("n") > 0, F.coalesce("of_class", "doc")).otherwise(F.col("doc"))
     rows = made.drop("buckets").join(named, ["k1", "k2"], "left").withColumn("component_id", F.when(F.col("doc").isNotNull(), component))
     return rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """The documents whose key is kept: one of each component. Rows without a key stay, as do all rows of
+    a kept key."""
+    gone = near_duplicates(documents, key, text, **options).where("not kept").select(F.col(key).alias("neardup__gone")).distinct()
+    return documents.join(gone.hint("shuffle_hash"), F.col(key) == F.col("neardup__gone"), "left_anti")

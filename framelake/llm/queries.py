@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, html_extract, langid, media, mixing, neardup, sharding, warc, work
+from . import bpe, fingerprint, html_extract, langid, licenses, media, mixing, neardup, sharding, warc, work
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,6 +26,11 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).selectExpr("page_id", "url", "text", "cast(char_length(text) as bigint) as n_chars")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "size(licenses) as n_licenses", "array_join(licenses.license, ',') as licenses", "coalesce(array_max(licenses.coverage), 0D) as coverage")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
@@ -49,7 +54,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, bands=20)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html_extract": op2_html_extract,
+    "op3_license_scan": op3_license_scan,
     "op4_bpe": op4_bpe,
     "op5_language_id": op5_language_id,
     "op6_media": op6_media,
