@@ -1,10 +1,718 @@
-"""Registered queries over the tables of a folder and the SQL each must equal."""
+"""Registered queries over the tables of a folder, and the SQL each must equal.
+
+Stand-ins: `events` is a sequence of frames per user (video = user_id, frame = event_id, signal =
+value), `embeddings` holds token vectors (video = label, frame = vec_id), `pages.url` file paths,
+`lineitem` pairs of raw and metric pixels. Results are scalar columns, rounded alike on both sides.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import rotation as rot
+from ..functions import vectors
+from ..operators import alignment, blocks, compare, depth, keyframes, lookup, sampling, similarity, validate
+from ..sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a query under its function's name."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def frames(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("user_id", "event_id")
+
+
+def totals(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n), digits) for n in names})
+
+
+# --- sources -----------------------------------------------------------------------------------
+
+
+@query("""
+    with p as (select page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) as path from pages)
+    select page_id, path from p where path <> '' order by path, page_id limit 50
+""")
+def source_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """List sources by path, keep the first fifty."""
+    paths = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1).alias("path")).where("path <> ''")
+    return files.first_by_path(paths, "path", 50, tie="page_id")
+
+
+@query("""
+    with p as (select page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) || '.mp4' as path from pages),
+    q as (select *, regexp_replace(split_part(path, '/', -1), '\\.[^.]*$', '') as stem, case when contains(path, '/') then split_part(path, '/', -2) else '' end as parent from p)
+    select page_id, case when parent = '' then stem else parent || '_' || stem end as video_id, stem from q
+""")
+def video_id_derive(spark: SparkSession, sf: str) -> DataFrame:
+    """An id from the parent folder and the stem, or the stem alone."""
+    paths = table(spark, sf, "pages").select("page_id", F.concat(F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1), F.lit(".mp4")).alias("path"))
+    return paths.select("page_id", files.video_id("path").alias("video_id"), files.video_id("path", stem_only=True).alias("stem"))
+
+
+@query("""
+    with p as (select page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) || '.mp4' as path from pages),
+    q as (select page_id, regexp_replace(split_part(path, '/', -1), '\\.[^.]*$', '') as video_id from p)
+    select video_id, count(*) as n from q group by 1 having count(*) > 1
+""")
+def id_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that more than one source claims."""
+    paths = table(spark, sf, "pages").select("page_id", F.concat(F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1), F.lit(".mp4")).alias("path"))
+    return files.collisions(paths.withColumn("video_id", files.video_id("path", stem_only=True)), "video_id")
+
+
+@query("select 'ramp' as video_id, i as frame_idx, 96 as height, 128 as width, cast(i * 20 as double) as grey from range(12) t(i)")
+def synthetic_ramp(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of known grey levels."""
+    return files.ramp_frames(spark, 12, 128, 96, 20)
+
+
+# --- sampling ----------------------------------------------------------------------------------
+
+_POS = "p as (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as row_pos, count(*) over (partition by user_id) as n from events)"
+
+
+@query(f"""
+    with {_POS}, q as (select *, greatest(1, n // 25) as step from p)
+    select user_id, event_id, case when n <= 25 then row_pos else row_pos // step end as row_pos from q where n <= 25 or (row_pos % step = 0 and row_pos // step < 25)
+""")
+def frame_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    """25 frames of each video."""
+    return sampling.sample_frames(frames(spark, sf), "user_id", "event_id", 25)
+
+
+@query(f"with {_POS} select user_id, event_id, row_pos from p where n <= 20 or row_pos % greatest(1, n // 20) = 0")
+def frame_stride_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """Thin videos above a cap by a stride."""
+    return sampling.with_positions(frames(spark, sf), "user_id", "event_id").where(sampling.stride_cap("row_pos", "n_frames", 20)).select("user_id", "event_id", "row_pos")
+
+
+@query("""
+    with t as (select user_id, count(*) as n from events group by 1), i as (select t.*, i from t, range(16) r(i) where i < least(n, 16))
+    select user_id, case when n <= 16 then i when i = 15 then n - 1 else cast(floor(i * ((n - 1) / 15.0::double)) as bigint) end as row_pos from i
+""")
+def pose_cap_linspace(spark: SparkSession, sf: str) -> DataFrame:
+    """16 positions spread over each video."""
+    return sampling.linspace_positions(totals(spark, sf), "n", 16).select("user_id", "row_pos")
+
+
+@query("select event_id, case when event_id < 0 or event_id >= 7000 then 'out' else 'in' end as side from events")
+def range_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that exist, and those that don't."""
+    rows = table(spark, sf, "events").select("event_id", F.lit(7000).alias("total"))
+    inside, outside = sampling.in_range(rows, "event_id", "total"), sampling.out_of_range(rows, "event_id", "total")
+    return inside.select("event_id", F.lit("in").alias("side")).unionByName(outside.select("event_id", F.lit("out").alias("side")))
+
+
+@query("""
+    with q as (select user_id, event_id, max(case when event_id >= 7000 then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) as bad from events)
+    select user_id, count(*) as n, max(event_id) as last_event from q where bad = 0 group by 1
+""")
+def stop_at_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Readers that stop at the first request beyond the end."""
+    rows = table(spark, sf, "events").select("user_id", "event_id", F.struct("ts", "event_id").alias("pos"), F.lit(7000).alias("total"))
+    return sampling.until_out_of_range(rows, "user_id", "pos", "event_id", "total").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
+
+
+@query("select event_id from events where event_id >= 100 and (event_id - 100) % 7 = 0 and (event_id - 100) // 7 < 300")
+def strided_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh frame from 100, 300 at most."""
+    return table(spark, sf, "events").where(sampling.strided_range("event_id", 100, 7, 300)).select("event_id")
+
+
+@query("select user_id, count(*) as n, case when count(*) > 66 then 'stream' else 'memory' end as route from events group by 1")
+def stream_routing(spark: SparkSession, sf: str) -> DataFrame:
+    """Which videos are streamed."""
+    return totals(spark, sf).withColumn("route", sampling.route("n", 66))
+
+
+# --- blocks ------------------------------------------------------------------------------------
+
+_BLOCKS = """t as (select user_id, count(*) as n from events group by 1),
+    b as (select user_id, n, unnest(range(0, case when n <= 16 then 0 else cast(ceil((n - 16) / 12.0) as bigint) end + 1)) as block_id from t)"""
+
+
+@query(f"with {_BLOCKS} select user_id, block_id, block_id * 12 as read_start, least(block_id * 12 + 16, n) as read_end, case when block_id = 0 then 0 else block_id * 12 + 4 end as write_start from b")
+def block_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of 16 rows that overlap by 4."""
+    return blocks.plan_blocks(totals(spark, sf), "n", 16, 4).drop("n")
+
+
+@query(f"""
+    with {_POS}, {_BLOCKS}
+    select p.user_id, p.event_id, b.block_id, p.row_pos >= case when b.block_id = 0 then 0 else b.block_id * 12 + 4 end as written
+    from p join b on p.user_id = b.user_id and p.row_pos >= b.block_id * 12 and p.row_pos < least(b.block_id * 12 + 16, b.n)
+""")
+def block_assign(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows to the blocks that read them, without a range join."""
+    return blocks.assign_blocks(sampling.with_positions(frames(spark, sf), "user_id", "event_id"), "row_pos", "n_frames", 16, 4).select("user_id", "event_id", "block_id", "written")
+
+
+@query(f"""
+    with {_POS}, {_BLOCKS}, j as (select p.user_id, p.row_pos, p.row_pos >= case when b.block_id = 0 then 0 else b.block_id * 12 + 4 end as written
+    from p join b on p.user_id = b.user_id and p.row_pos >= b.block_id * 12 and p.row_pos < least(b.block_id * 12 + 16, b.n))
+    select user_id, row_pos, count(*) as n_read, count(*) filter (written) as n_written from j group by 1, 2
+""")
+def write_once_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row is written by one block."""
+    assigned = blocks.assign_blocks(sampling.with_positions(frames(spark, sf), "user_id", "event_id"), "row_pos", "n_frames", 16, 4)
+    return blocks.coverage(assigned, "user_id", "row_pos")
+
+
+# --- keyframes, fits, depth ----------------------------------------------------------------------
+
+_KEYS = """s as (select user_id, event_id, row_number() over (partition by user_id order by event_id) as i, max(event_id) over (partition by user_id) as top from events),
+    r(user_id, i, f, last, is_key, top) as (
+        select user_id, i, event_id, event_id, true, top from s where i = 1
+        union all
+        select s.user_id, s.i, s.event_id, case when s.event_id - r.last >= 1000 then s.event_id else r.last end, s.event_id - r.last >= 1000, s.top
+        from r join s on s.user_id = r.user_id and s.i = r.i + 1
+    )"""
+
+
+@query(f"with recursive {_KEYS} select user_id, f as event_id from r where is_key or f = top")
+def keyframe_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Greedy keyframes at least 1000 apart, and the last frame."""
+    return keyframes.keyframes(frames(spark, sf), "user_id", "event_id", 1000)
+
+
+@query("""
+    with recursive s as (select user_id, event_id, row_number() over (partition by user_id order by event_id) as i, max(event_id) over (partition by user_id) as top from events where event_id >= 4000),
+    r(user_id, i, f, last, is_key, top) as (
+        select user_id, i, event_id, case when event_id - 3800 >= 1000 then event_id else 3800 end, event_id - 3800 >= 1000, top from s where i = 1
+        union all
+        select s.user_id, s.i, s.event_id, case when s.event_id - r.last >= 1000 then s.event_id else r.last end, s.event_id - r.last >= 1000, s.top
+        from r join s on s.user_id = r.user_id and s.i = r.i + 1
+    ) select user_id, f as event_id from r where is_key or f = top
+""")
+def keyframe_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """A segment whose last keyframe, 3800, is carried over."""
+    rows = frames(spark, sf).where("event_id >= 4000").withColumn("carried", F.lit(3800).cast("bigint"))
+    return keyframes.keyframes(rows, "user_id", "event_id", 1000, carried="carried")
+
+
+_INTERP = """
+    with a as (select user_id, event_id, case when event_id % 7 = 0 then value end as v from events),
+    b as (select *,
+        last_value(case when v is not null then event_id end ignore nulls) over w0 as x0, first_value(case when v is not null then event_id end ignore nulls) over w1 as x1,
+        last_value(v ignore nulls) over w0 as v0, first_value(v ignore nulls) over w1 as v1
+      from a window w0 as (partition by user_id order by event_id rows between unbounded preceding and current row), w1 as (partition by user_id order by event_id rows between current row and unbounded following))
+    select user_id, event_id, round(case when x0 is null then v1 when x1 is null or x1 = x0 then v0 else v0 + (v1 - v0) * ((event_id - x0) / (x1 - x0)::double) end, 8) as v from b
+"""
+
+
+@query(_INTERP)
+def interp_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Parameters between anchors, linear in the source index, clamped at the ends."""
+    rows = table(spark, sf, "events").select("user_id", "event_id", F.expr("case when event_id % 7 = 0 then value end").alias("v"))
+    return rounded(keyframes.interpolate(rows, "user_id", "event_id", ["v"]), 8, "v")
+
+
+@query("""
+    select l_suppkey, count(*) as n_valid, round(regr_slope(t, s), 6) as scale, round(regr_intercept(t, s), 5) as shift from (
+        select l_suppkey, l_quantity as s, l_quantity * 3 + l_discount as t from lineitem where l_quantity > 1e-6 and l_quantity * 3 + l_discount > 1e-6)
+    group by 1 having count(*) >= 100
+""")
+def affine_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Least squares per group over valid pixels, of groups with at least 100."""
+    px = table(spark, sf, "lineitem").selectExpr("l_suppkey", "l_quantity as s", "l_quantity * 3 + l_discount as t")
+    fits = depth.fit_affine(px, ["l_suppkey"], "s", "t", min_points=100).where("status = 'fitted'").drop("status")
+    return rounded(rounded(fits, 6, "scale"), 5, "shift")
+
+
+@query("select l_suppkey, count(*) as n_valid, 1.0::double as scale, round(greatest(0, avg(l_quantity) - 2), 6) as shift, 'shift only' as status from lineitem group by 1")
+def affine_degenerate(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: a source without spread gives a shift alone."""
+    px = table(spark, sf, "lineitem").selectExpr("l_suppkey", "2D as s", "l_quantity as t")
+    return rounded(depth.fit_affine(px, ["l_suppkey"], "s", "t", min_points=1), 6, "shift")
+
+
+@query("""
+    with q as (select l_suppkey, l_quantity, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey) - 1 as i, count(*) over (partition by l_suppkey) as n from lineitem)
+    select l_suppkey, count(*) as n, round(sum(l_quantity), 4) as total from q where n <= 50 or i % greatest(1, n // 50) = 0 group by 1
+""")
+def pixel_thinning(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: a strided subsample of large groups."""
+    rows = table(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_orderkey", "l_linenumber", "l_partkey")
+    return rounded(depth.thin(rows, ["l_suppkey"], "l_orderkey, l_linenumber, l_partkey", 50).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total")), 4, "total")
+
+
+@query("""
+    with z as (select event_id, least(greatest(value * 0.3 - 5, 0.1), 100.0)::double as z from events)
+    select event_id, round(z, 6) as z, round(least(greatest((1 / z - 0.01) / (10 - 0.01 + 1e-8), 0), 1), 6) as inv from z
+""")
+def metricise_inverse_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """raw to metric to inverse depth."""
+    rows = table(spark, sf, "events").select("event_id", depth.metric("value", "0.3D", "(-5D)").alias("z"))
+    return rounded(rows.withColumn("inv", depth.inverse("z")), 6, "z", "inv")
+
+
+@query("select event_id, cast(round_even((least(greatest((value / 400)::float, 0::float), 1::float) * 65535::float)::float, 0) as integer) as px from events")
+def quantise_u16(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: depth as whole numbers, in single precision, half to even."""
+    return table(spark, sf, "events").select("event_id", depth.quantise("value / 400").alias("px"))
+
+
+@query("""
+    with q as (select least(greatest((value / 400)::float, 0::float), 1::float) as v from events), r as (select v, round_even((v * 65535::float)::float, 0)::float / 65535::float as back from q)
+    select max(abs(v::double - back::double)) < 2 / 65535.0 as within, count(*) as n from r
+""")
+def roundtrip_error(spark: SparkSession, sf: str) -> DataFrame:
+    """The error of storing depth."""
+    rows = table(spark, sf, "events").select(F.expr("least(greatest(cast(value / 400 as float), cast(0 as float)), cast(1 as float))").alias("v")).withColumn("px", depth.quantise("v"))
+    back = rows.withColumn("back", depth.dequantise("px"))
+    return back.agg((F.max(F.abs(F.col("v").cast("double") - F.col("back").cast("double"))) < 2 / 65535).alias("within"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    with recursive frames as (
+        select label as video, vec_id as f, vec_id as idx, list_transform(embedding::double[], lambda x: x + 1) as raw, max(vec_id) over () + 1 as n from embeddings),
+    paired as (
+        select a.video, a.f, a.raw, list_transform(range(1, 65), lambda i: 3 * a.raw[i] + 0.2 * b.embedding[i]::double) as metric
+        from frames a join embeddings b on b.vec_id = (a.f + 1) % a.n),
+    o as (select video, f, row_number() over (partition by video order by f) as i, max(f) over (partition by video) as top from frames),
+    k(video, i, f, last, is_key, top) as (
+        select video, i, f, f, true, top from o where i = 1
+        union all
+        select o.video, o.i, o.f, case when o.f - k.last >= 30 then o.f else k.last end, o.f - k.last >= 30, o.top from k join o on o.video = k.video and o.i = k.i + 1),
+    px as (select p.video, p.f, unnest(p.raw) as s, unnest(p.metric) as t from paired p join k on k.video = p.video and k.f = p.f where k.is_key or k.f = k.top),
+    fit as (select video, f, regr_slope(t, s) as a, regr_intercept(t, s) as h from px group by 1, 2),
+    j as (select p.video, p.f, p.raw, fit.a, fit.h from paired p left join fit on fit.video = p.video and fit.f = p.f),
+    w as (select *, last_value(case when a is not null then f end ignore nulls) over w0 as x0, first_value(case when a is not null then f end ignore nulls) over w1 as x1,
+            last_value(a ignore nulls) over w0 as a0, first_value(a ignore nulls) over w1 as a1, last_value(h ignore nulls) over w0 as h0, first_value(h ignore nulls) over w1 as h1
+          from j window w0 as (partition by video order by f rows between unbounded preceding and current row), w1 as (partition by video order by f rows between current row and unbounded following)),
+    m as (select video, f, raw, case when x1 = x0 then a0 else a0 + (a1 - a0) * ((f - x0) / (x1 - x0)::double) end as a, case when x1 = x0 then h0 else h0 + (h1 - h0) * ((f - x0) / (x1 - x0)::double) end as h from w),
+    inv as (select video, f, list_transform(raw, lambda x: least(greatest((1 / least(greatest(x * a + h, 0.1), 100) - 0.01) / (10 - 0.01 + 1e-8), 0), 1)) as v from m)
+    select video, f as frame_idx, round(list_avg(v), 6) as mean_inv, round(list_min(v), 6) as min_inv, round(list_max(v), 6) as max_inv, len(v) as n_px from inv
+""")
+def keyframe_metric_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """W2, A1, W3, F2, F1 on one table: keyframe fits, interpolated, applied, inverted."""
+    e = table(spark, sf, "embeddings").selectExpr("label as video", "vec_id as f", "transform(embedding, x -> cast(x as double)) as e")
+    n = e.agg((F.max("f") + 1).alias("n"))  # one row
+    base = e.crossJoin(F.broadcast(n))
+    partner = e.select(F.col("f").alias("g"), F.col("e").alias("p"))
+    paired = base.join(partner, F.expr("(f + 1) % n = g")).selectExpr("video", "f", "transform(e, x -> x + 1) as raw", "zip_with(e, p, (x, y) -> 3 * (x + 1) + 0.2D * y) as metric")
+    keys = keyframes.keyframes(e, "video", "f", 30)
+    pixels = paired.join(keys, ["video", "f"]).select("video", "f", F.explode(F.arrays_zip("raw", "metric")).alias("px")).select("video", "f", "px.raw", "px.metric")
+    fits = depth.fit_affine(pixels, ["video", "f"], "raw", "metric", min_points=1).select("video", "f", "scale", "shift")
+    params = keyframes.interpolate(paired.select("video", "f", "raw").join(fits, ["video", "f"], "left"), "video", "f", ["scale", "shift"])
+    inv = "transform(raw, x -> least(greatest((1D / least(greatest(x * scale + shift, 0.1D), 100D) - 0.01D) / (10D - 0.01D + 1e-8D), 0D), 1D))"
+    out = params.select("video", F.col("f").alias("frame_idx"), F.expr(inv).alias("v"))
+    return out.selectExpr("video", "frame_idx", "round(aggregate(v, 0D, (s, x) -> s + x) / size(v), 6) as mean_inv", "round(array_min(v), 6) as min_inv", "round(array_max(v), 6) as max_inv", "cast(size(v) as bigint) as n_px")
+
+
+# --- vectors -----------------------------------------------------------------------------------
+
+
+@query("""
+    with q as (select vec_id, embedding::double[] as e from embeddings), n as (select vec_id, e, greatest(sqrt(list_sum(list_transform(e, lambda x: x * x))), 1e-8) as n from q)
+    select vec_id, round(n, 6) as norm, round(e[1] / n, 6) as first, round(e[64] / n, 6) as last from n
+""")
+def l2_normalise(spark: SparkSession, sf: str) -> DataFrame:
+    """vectors of length one."""
+    v = table(spark, sf, "embeddings").select("vec_id", vectors.norm("embedding").alias("norm"), vectors.l2_normalise("embedding").alias("v"))
+    return rounded(v.selectExpr("vec_id", "norm", "v[0] as first", "v[63] as last"), 6, "norm", "first", "last")
+
+
+_COS = """
+    with q as (select label, vec_id, embedding::double[] as e, row_number() over (partition by label order by vec_id) as i from embeddings),
+    c as (select q.label, q.vec_id, list_inner_product(q.e, f.e) as c from q join q f on f.label = q.label and f.i = 1)
+"""
+
+
+def _to_first(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select("label", "vec_id", "embedding")
+    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("cls"))
+    return e.join(first, "label").select("label", "vec_id", vectors.dot("embedding", "cls").alias("c"))
+
+
+@query(_COS + "select label, vec_id, round(c, 6) as c from c")
+def cls_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    """likeness of tokens to the first of their group."""
+    return rounded(_to_first(spark, sf), 6, "c")
+
+
+@query(_COS + ", e as (select quantile_cont(c, 0.02) as lo, quantile_cont(c, 0.98) as hi from c) select label, vec_id, round(least(greatest((c - lo) / ((case when hi <= lo + 1e-8 then lo + 1 else hi end) - lo), 0), 1), 6) as c from c, e")
+def percentile_stretch(spark: SparkSession, sf: str) -> DataFrame:
+    """Values stretched between two percentiles."""
+    return rounded(vectors.percentile_stretch(_to_first(spark, sf), ["c"]), 6, "c")
+
+
+@query()
+def pca_rgb(spark: SparkSession, sf: str) -> DataFrame:
+    """Three principal components, stretched to colours. Tested against NumPy."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    mean, basis = vectors.pca_basis(e, "embedding", 3)
+    out = vectors.percentile_stretch(vectors.project(e, "embedding", mean, basis, ["red", "green", "blue"]).drop("embedding"), ["red", "green", "blue"])
+    return rounded(out, 6, "red", "green", "blue")
+
+
+@query("""
+    with q as (select vec_id, list_transform(range(8), lambda i: embedding[8 * i + 1]) as t from embeddings)
+    select vec_id, len(k) as n, round(k[1]::double, 6) as cls, round(k[2]::double, 6) as next from (select vec_id, list_concat(t[1:1], t[4:]) as k from q)
+""")
+def token_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Register tokens go, token 0 stays."""
+    t = table(spark, sf, "embeddings").select("vec_id", F.expr("transform(sequence(0, 7), i -> embedding[8 * i])").alias("t")).select("vec_id", vectors.drop_registers("t", 2).alias("k"))
+    return rounded(t.selectExpr("vec_id", "cast(size(k) as bigint) as n", "cast(k[0] as double) as cls", "cast(k[1] as double) as next"), 6, "cls", "next")
+
+
+@query("select p_partkey, p_size * 16 // 16 as h, (p_size * 32 + 5) // 16 as w, (p_size * 16) % 16 = 0 and (p_size * 32 + 5) % 16 = 0 as native from part")
+def patch_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Patch grids and whether the size needs no resizing."""
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "p_size * 16 as height", "p_size * 32 + 5 as width")
+    return rows.withColumn("g", vectors.patch_grid("height", "width")).selectExpr("p_partkey", "g.h as h", "g.w as w", "height % 16 = 0 and width % 16 = 0 as native")
+
+
+# --- lookups -----------------------------------------------------------------------------------
+
+
+@query("""
+    select r.pos, r.f as frame_idx, e.label, round(e.embedding[1]::double, 6) as first from (select unnest([11, 1, 5, 5, 999999, 0, 10]) as f, generate_subscripts([11, 1, 5, 5, 999999, 0, 10], 1) - 1 as pos) r
+    join embeddings e on e.vec_id = r.f
+""")
+def requested_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in the order asked for, repeats kept, misses left out."""
+    request = lookup.numbered(spark.createDataFrame([([11, 1, 5, 5, 999999, 0, 10],)], "fs array<bigint>"), "fs")
+    stored = table(spark, sf, "embeddings").select(F.col("vec_id").alias("frame_idx"), "label", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+    return lookup.requested_rows(request, stored, ["frame_idx"]).select("pos", "frame_idx", "label", "first")
+
+
+@query("select distinct a.user_id from events a join events b on a.user_id = b.user_id where a.event_type = 'click' and a.value > 150 and b.event_type = 'view' and b.value > 150")
+def common_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that two stores share."""
+    e = table(spark, sf, "events").where("value > 150")
+    return lookup.common_frames(e.where("event_type = 'click'"), e.where("event_type = 'view'"), ["user_id"])
+
+
+@query("""
+    with c as (select user_id, count(*) as clicks from events where event_type = 'click' and value > 150 group by 1), v as (select user_id, count(*) as views from events where event_type = 'view' and value > 150 group by 1)
+    select coalesce(c.user_id, v.user_id) as user_id, clicks, views from c full outer join v on c.user_id = v.user_id
+""")
+def read_all_outer(spark: SparkSession, sf: str) -> DataFrame:
+    """Branches side by side."""
+    e = table(spark, sf, "events").where("value > 150")
+    one = lambda kind, name: e.where(F.col("event_type") == kind).groupBy("user_id").agg(F.count(F.lit(1)).alias(name))
+    return lookup.read_all([one("click", "clicks"), one("view", "views")], ["user_id"])
+
+
+@query("""
+    with a as (select user_id, row_number() over (partition by user_id order by event_id) - 1 as pos, event_id as f from events),
+    b as (select user_id, row_number() over (partition by user_id order by event_id) - 1 as pos, event_id as f from events where value < 480)
+    select coalesce(a.user_id, b.user_id) as user_id, count(a.f) as n_requested, count(b.f) as n_stored, bool_and(a.f is not null and b.f is not null and a.f = b.f) as aligned
+    from a full outer join b on a.user_id = b.user_id and a.pos = b.pos group by 1
+""")
+def alignment_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether stored frames equal the request, in order."""
+    e = table(spark, sf, "events")
+    asked = sampling.with_positions(e.select("user_id", "event_id"), "user_id", "event_id")
+    there = sampling.with_positions(e.where("value < 480").select("user_id", "event_id"), "user_id", "event_id")
+    return lookup.alignment(asked, there, ["user_id"], "row_pos", "event_id")
+
+
+@query("""
+    select distinct user_id from events where user_id not in (
+        select user_id from events where value > 100 and event_type in ('click', 'view', 'purchase') group by 1 having count(distinct event_type) = 3)
+""")
+def resume_todo(spark: SparkSession, sf: str) -> DataFrame:
+    """Videos of which a requested branch is not complete."""
+    e = table(spark, sf, "events")
+    done = e.where("value > 100").select("user_id", F.col("event_type").alias("branch"), F.lit(True).alias("complete"), F.col("event_id").alias("attempt"))
+    return lookup.todo(e.select("user_id").distinct(), done, "user_id", ["click", "view", "purchase"])
+
+
+@query("""
+    select user_id, case min(case event_type when 'purchase' then 0 when 'click' then 1 else 2 end) when 0 then 'purchase' when 1 then 'click' else 'view' end as branch
+    from events where value > 150 and event_type in ('purchase', 'click', 'view') group by 1
+""")
+def primary_branch(spark: SparkSession, sf: str) -> DataFrame:
+    """The first branch that a video has."""
+    rows = table(spark, sf, "events").where("value > 150").select("user_id", F.col("event_type").alias("branch"))
+    return lookup.primary_branch(rows, "user_id", "branch", ("purchase", "click", "view"))
+
+
+@query("select user_id, event_type, count(*) as n_frames, min(event_id) as first_frame, max(event_id) as last_frame, max(event_id) - min(event_id) + 1 = count(*) as contiguous from events group by 1, 2")
+def inspect_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Shapes per branch and whether frames are contiguous."""
+    return compare.contiguity(table(spark, sf, "events"), ["user_id", "event_type"], "event_id")
+
+
+@query("select distinct user_id from events order by 1")
+def list_videos(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids in order."""
+    return table(spark, sf, "events").select("user_id").distinct().orderBy("user_id")
+
+
+# --- comparison --------------------------------------------------------------------------------
+
+_PAIRS = "f as (select l_orderkey, avg(abs(l_quantity - l_quantity * (1 - l_discount))) as mean_abs, max(abs(l_quantity - l_quantity * (1 - l_discount))) as max_abs from lineitem group by 1)"
+
+
+def _depth_frames(spark: SparkSession, sf: str) -> DataFrame:
+    return compare.depth_frames(table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_quantity as a", "l_quantity * (1 - l_discount) as b"), ["l_orderkey"], "a", "b")
+
+
+@query(f"""
+    with {_PAIRS}, b as (select *, least(l_orderkey % 64, 64 - l_orderkey % 64) <= 2 as near from f)
+    select count(*) as n_frames, round(avg(mean_abs), 6) as avg_mean_abs, round(max(mean_abs), 6) as worst_mean_abs, round(max(max_abs), 6) as worst_max_abs,
+        round(avg(mean_abs) filter (near), 6) as boundary_mean, round(avg(mean_abs) filter (not near), 6) as interior_mean from b
+""")
+def compare_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """Depth differences, at and off block boundaries."""
+    out = compare.depth_summary(_depth_frames(spark, sf), "l_orderkey", 64).drop("avg_corr", "worst_corr")
+    return rounded(out, 6, *[c for c in out.columns if c != "n_frames"])
+
+
+@query(f"with {_PAIRS} select l_orderkey, round(mean_abs, 6) as mean_abs, round(max_abs, 6) as max_abs from f order by f.mean_abs desc, l_orderkey limit 5")
+def compare_depth_worst5(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: the five worst frames."""
+    return rounded(compare.worst_frames(_depth_frames(spark, sf).drop("corr"), "mean_abs", "l_orderkey"), 6, "mean_abs", "max_abs")
+
+
+@query("""
+    with p as (select l_suppkey, round(corr(l_quantity, l_quantity * (1 - l_discount)), 6) as corr from lineitem group by 1) select * from p
+""")
+def compare_depth_corr(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: correlation per frame."""
+    px = table(spark, sf, "lineitem").selectExpr("l_suppkey", "l_quantity as a", "l_quantity * (1 - l_discount) as b")
+    return rounded(compare.depth_frames(px, ["l_suppkey"], "a", "b").select("l_suppkey", "corr"), 6, "corr")
+
+
+_VECS = """
+    with n as (select max(vec_id) + 1 as n from embeddings), p as (select a.vec_id, a.embedding::double[] as a, b.embedding::double[] as b from embeddings a, n join embeddings b on b.vec_id = (a.vec_id + 7) % n.n),
+    q as (select vec_id, list_inner_product(a, b) / (sqrt(list_inner_product(a, a)) * sqrt(list_inner_product(b, b)) + 1e-8) as cosine,
+        sqrt(list_sum(list_transform(range(1, 65), lambda i: (a[i] - b[i]) * (a[i] - b[i])))) / (sqrt(list_inner_product(b, b)) + 1e-8) as rel_l2 from p)
+"""
+
+
+def _vec_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings")
+    n = e.agg((F.max("vec_id") + 1).alias("n"))  # one row
+    left = e.select("vec_id", F.col("embedding").alias("a")).crossJoin(F.broadcast(n))
+    pairs = left.join(e.select(F.col("vec_id").alias("o"), F.col("embedding").alias("b")), F.expr("(vec_id + 7) % n = o"))
+    return compare.dino_frames(pairs, ["vec_id"], "a", "b")
+
+
+@query(_VECS + "select vec_id, round(cosine, 6) as cosine, round(rel_l2, 6) as rel_l2 from q")
+def compare_dino(spark: SparkSession, sf: str) -> DataFrame:
+    """Cosine and relative distance of token vectors."""
+    return rounded(_vec_pairs(spark, sf), 6, "cosine", "rel_l2")
+
+
+@query(_VECS + "select count(*) as n_frames, round(avg(cosine), 6) as avg_cosine, round(min(cosine), 6) as worst_cosine, round(avg(rel_l2), 6) as avg_rel_l2, round(max(rel_l2), 6) as worst_rel_l2 from q")
+def compare_dino_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages and worst."""
+    out = compare.dino_summary(_vec_pairs(spark, sf))
+    return rounded(out, 6, *[c for c in out.columns if c != "n_frames"])
+
+
+# --- rotations ---------------------------------------------------------------------------------
+
+_Q = "v as (select label, vec_id, embedding[1]::double as a, embedding[2]::double as b, embedding[3]::double as c, embedding[4]::double as d, embedding[5]::double as tx, embedding[6]::double as ty, embedding[7]::double as tz from embeddings)"
+_R = f"""{_Q}, n as (select *, sqrt(a * a + b * b + c * c + d * d) + 1e-8 as m from v), u as (select label, vec_id, tx, ty, tz, a / m as x, b / m as y, c / m as z, d / m as w from n),
+    r as (select label, vec_id, tx, ty, tz, 1 - 2 * (y * y + z * z) as r0, 2 * (x * y - z * w) as r1, 2 * (x * z + y * w) as r2, 2 * (x * y + z * w) as r3, 1 - 2 * (x * x + z * z) as r4, 2 * (y * z - x * w) as r5,
+        2 * (x * z - y * w) as r6, 2 * (y * z + x * w) as r7, 1 - 2 * (x * x + y * y) as r8 from u)"""
+
+
+def _quaternions(spark: SparkSession, sf: str) -> DataFrame:
+    names = ("a", "b", "c", "d", "tx", "ty", "tz")
+    return table(spark, sf, "embeddings").select("label", "vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+
+
+def _rotations(spark: SparkSession, sf: str) -> DataFrame:
+    q = _quaternions(spark, sf)
+    return q.select("label", "vec_id", "tx", "ty", "tz", *[c.alias(n) for n, c in rot.named("r", rot.quaternion_matrix([F.col(x) for x in "abcd"])).items()])
+
+
+@query(f"with {_R} select vec_id, round(r0, 6) as d0, round(r3, 6) as d1, round(r6, 6) as d2, round(r1, 6) as d3, round(r4, 6) as d4, round(r7, 6) as d5 from r")
+def quat_to_rot6d(spark: SparkSession, sf: str) -> DataFrame:
+    """quaternions to six numbers."""
+    out = _rotations(spark, sf).select("vec_id", *[c.alias(n) for n, c in rot.named("d", rot.to_6d(rot.cols("r"))).items()])
+    return rounded(out, 6, *[f"d{i}" for i in range(6)])
+
+
+@query(f"with {_Q} select vec_id, round(d * d - a * a - b * b - c * c, 6) as w2, round(2 * d * a, 6) as x2, round(a * a + b * b + c * c + d * d, 6) as unit from v")
+def quat_products(spark: SparkSession, sf: str) -> DataFrame:
+    """q q and q q*."""
+    q = _quaternions(spark, sf)
+    v = [F.col(x) for x in "abcd"]
+    square, unit = rot.quaternion_multiply(v, v), rot.quaternion_multiply(v, rot.quaternion_conjugate(v))
+    return rounded(q.select("vec_id", square[3].alias("w2"), square[0].alias("x2"), unit[3].alias("unit")), 6, "w2", "x2", "unit")
+
+
+@query(f"with {_R} select vec_id, case when vec_id % 3 = 0 then false else true end as valid from r")
+def rot_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """six numbers to matrices; every third is stretched and no rotation."""
+    r = _rotations(spark, sf)
+    m = rot.from_6d(rot.to_6d(rot.cols("r")))
+    k = F.when(F.col("vec_id") % 3 == 0, 2.0).otherwise(1.0)
+    return r.select("vec_id", rot.is_rotation([x * k for x in m]).alias("valid"))
+
+
+_FIRST = f"""{_R}, f as (select *, {", ".join(f"first_value({c}) over w as f_{c}" for c in ("tx", "ty", "tz", *[f"r{i}" for i in range(9)]))} from r window w as (partition by label order by vec_id)),
+    g as (select label, vec_id, {", ".join(" + ".join(f"r{3 * i + k} * f_r{3 * j + k}" for k in range(3)) + f" as g{3 * i + j}" for i in range(3) for j in range(3))}, tx, ty, tz, f_tx, f_ty, f_tz from f)"""
+
+
+@query(f"""with {_FIRST} select label, vec_id, {", ".join(f"round(t{'xyz'[i]} - ({' + '.join(f'g{3 * i + k} * f_t' + 'xyz'[k] for k in range(3))}), 6) as p{i}" for i in range(3))},
+    {", ".join(f"round(g{k}, 6) as p{3 + n}" for n, k in enumerate((0, 3, 6, 1, 4, 7)))} from g""")
+def frame0_relative(spark: SparkSession, sf: str) -> DataFrame:
+    """Poses relative to the first frame of each video."""
+    cs = ("tx", "ty", "tz", *[f"r{i}" for i in range(9)])
+    f = _rotations(spark, sf).withColumns({f"f_{c}": F.expr(f"first_value({c}) over (partition by label order by vec_id)") for c in cs})
+    g, t = rot.relative_pose(rot.cols("r"), [F.col(f"t{x}") for x in "xyz"], rot.cols("f_r"), [F.col(f"f_t{x}") for x in "xyz"])
+    out = f.select("label", "vec_id", *[c.alias(n) for n, c in rot.named("p", rot.pose9(t, g)).items()])
+    return rounded(out, 6, *[f"p{i}" for i in range(9)])
+
+
+@query(f"with {_FIRST} select label, vec_id, round(degrees(acos(least(greatest((g0 + g4 + g8 - 1) / 2, -1), 1))), 4) as angle from g where (g0 + g4 + g8 - 1) / 2 < 0.999")
+def geodesic(spark: SparkSession, sf: str) -> DataFrame:
+    """F16: angles to the first frame; those near 0, where acos has no digits, are left out."""
+    r = _rotations(spark, sf).withColumns({f"f_r{i}": F.expr(f"first_value(r{i}) over (partition by label order by vec_id)") for i in range(9)})
+    a, b = rot.cols("r"), rot.cols("f_r")
+    cos = (sum((x * y for x, y in zip(a[1:], b[1:], strict=True)), a[0] * b[0]) - 1) / 2
+    return rounded(r.where(cos < 0.999).select("label", "vec_id", rot.geodesic_degrees(a, b).alias("angle")), 4, "angle")
+
+
+@query(f"with {_R} select vec_id, round(-(r0 * tx + r3 * ty + r6 * tz), 6) as cx, round(-(r1 * tx + r4 * ty + r7 * tz), 6) as cy, round(-(r2 * tx + r5 * ty + r8 * tz), 6) as cz from r")
+def camera_centres(spark: SparkSession, sf: str) -> DataFrame:
+    """rigid inverses and camera centres."""
+    r = _rotations(spark, sf)
+    _, c = rot.rigid_inverse(rot.cols("r"), [F.col(f"t{x}") for x in "xyz"])
+    return rounded(r.select("vec_id", *[x.alias(n) for x, n in zip(c, ("cx", "cy", "cz"), strict=True)]), 6, "cx", "cy", "cz")
+
+
+# --- similarities and chains ----------------------------------------------------------------------
+
+
+@query("select label, count(*) as n, 2.5::double as s, 0.0::double as r0, -1.0::double as r1, 1.0::double as r3, 1.0::double as t0, -2.0::double as t1, 3.0::double as t2, 'similarity' as kind from embeddings group by 1")
+def umeyama_known(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: the transform that made the target points is found: scale 2.5, a quarter turn, a move."""
+    e = table(spark, sf, "embeddings").select("label", *[F.col("embedding")[i + 4].cast("double").alias(n) for i, n in enumerate(("sx", "sy", "sz"))])
+    points = e.selectExpr("*", "-2.5D * sy + 1 as dx", "2.5D * sx - 2 as dy", "2.5D * sz + 3 as dz")
+    f = similarity.fit_similarity(points, ["label"])
+    out = f.selectExpr("label", "n", "s", "r[0] as r0", "r[1] as r1", "r[3] as r3", "t[0] as t0", "t[1] as t1", "t[2] as t2", "kind")
+    return rounded(out, 6, "s", "r0", "r1", "r3", "t0", "t1", "t2").withColumns({c: F.expr(f"{c} + 0D") for c in ("r0",)})
+
+
+@query("select label, count(*) as n, 1.0::double as s, -1.0::double as r1, 1.0::double as r3, 'rotation' as kind from embeddings group by 1")
+def robust_rotation_only(spark: SparkSession, sf: str) -> DataFrame:
+    """A3, A4: points without spread leave the rotation to the orientations."""
+    e = table(spark, sf, "embeddings").select("label", *[F.lit(1.0 + i).alias(n) for i, n in enumerate(("sx", "sy", "sz"))])
+    points = e.selectExpr("*", "sx + 4 as dx", "sy as dy", "sz as dz", *[f"{1.0 if i % 4 == 0 else 0.0}D as sr{i}" for i in range(9)], *[f"{v}D as dr{i}" for i, v in enumerate((0.0, -1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0))])
+    f = similarity.fit_similarity(points, ["label"], rotations=True)
+    return rounded(f.selectExpr("label", "n", "s", "r[1] as r1", "r[3] as r3", "kind"), 6, "r1", "r3")
+
+
+@query("select user_id, event_id, round(value, 4) as v from events")
+def chain_affine(spark: SparkSession, sf: str) -> DataFrame:
+    """Every block after a video's first measures in units of its own; stitched, the values come back."""
+    e = sampling.with_positions(table(spark, sf, "events").select("user_id", "event_id", "value"), "user_id", "event_id")
+    b = blocks.assign_blocks(e, "row_pos", "n_frames", 16, 4).withColumn("raw", F.expr("case when block_id = 0 then value else (value + 1 + block_id % 3) * (1 + block_id % 4) / 2 end"))
+    out = alignment.align_depth(b, "user_id", "event_id", "block_id", "raw", [], min_points=2)
+    return rounded(out.where("written").selectExpr("user_id", "event_id", "raw as v"), 4, "v")
+
+
+@query("select user_id, event_id, round(value, 4) as cx, round(value * value / 100, 4) as cy, round(event_id / 1000.0, 4) as cz from events")
+def chain_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window has a frame of its own; stitched by similarities, the trajectory comes back."""
+    e = sampling.with_positions(table(spark, sf, "events").selectExpr("user_id", "event_id", "value as x", "value * value / 100 as y", "event_id / 1000D as z"), "user_id", "event_id")
+    b = blocks.assign_blocks(e, "row_pos", "n_frames", 16, 4)
+    # window k turns by a quarter k times, shrinks and moves
+    k, s = "block_id % 4", "(1 + block_id % 3)"
+    own = b.selectExpr(
+        "*",
+        f"(case {k} when 0 then x when 1 then y when 2 then -x else -y end) / {s} + block_id as cx",
+        f"(case {k} when 0 then y when 1 then -x when 2 then -y else x end) / {s} - block_id as cy",
+        f"z / {s} as cz",
+    )
+    now = own.selectExpr("user_id", "event_id", "block_id", "cx as sx", "cy as sy", "cz as sz")
+    prev = own.selectExpr("user_id", "event_id", "block_id + 1 as block_id", "cx as dx", "cy as dy", "cz as dz")
+    fits = similarity.fit_similarity(now.join(prev, ["user_id", "event_id", "block_id"]), ["user_id", "block_id"]).select("user_id", "block_id", "s", "r", "t")
+    first = own.where("block_id = 0").select("user_id", "block_id").distinct().selectExpr("user_id", "block_id", "1D as s", "array(1D,0D,0D,0D,1D,0D,0D,0D,1D) as r", "array(0D,0D,0D) as t")
+    world = similarity.compose(first.unionByName(fits), "user_id", "block_id").selectExpr("user_id", "block_id", "s", "r as fr", "t as ft")
+    poses = own.where("written").select("user_id", "event_id", "block_id", "cx", "cy", "cz", *[F.lit(1.0 if i % 4 == 0 else 0.0).alias(f"r{i}") for i in range(9)])
+    return rounded(similarity.apply_similarity(poses.join(world, ["user_id", "block_id"])).select("user_id", "event_id", "cx", "cy", "cz"), 4, "cx", "cy", "cz")
+
+
+@query("""
+    select user_id, event_id, case when i < 32 then 5.0::double else round(m, 8) end as depth from (
+        select user_id, event_id, row_number() over w as i, avg(value) over (partition by user_id order by event_id rows between 31 preceding and current row) as m from events window w as (partition by user_id order by event_id))
+""")
+def warm_up_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A constant until 32 frames are there, then a model over the last 32; here it averages."""
+    w = "over (partition by user_id order by event_id rows between 31 preceding and current row)"
+    e = table(spark, sf, "events").select("user_id", "event_id", F.expr(f"collect_list(value) {w}").alias("window"))
+    return e.selectExpr("user_id", "event_id", "case when size(window) < 32 then 5D else round(aggregate(window, 0D, (s, x) -> s + x) / 32, 8) end as depth")
+
+
+# --- validation --------------------------------------------------------------------------------
+
+
+@query("""
+    select 'depth' as branch, 'finite' as name, 'all finite' as expected, '0' as observed, true as passed
+    union all select 'depth', 'min', '>= 0', cast(round(min(value), 6) as varchar), min(value) >= -1e-6 from events
+    union all select 'depth', 'max', '<= 400', cast(round(max(value), 6) as varchar), max(value) <= 400 + 1e-6 from events
+    union all select 'depth', 'not constant', 'std > 0', 'true', stddev_pop(value) > 0 from events
+    union all select 'dino', 'finite', 'all finite', '0', true
+    union all select 'dino', 'not constant', 'std > 0', 'true', true
+""")
+def sanity_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Invariants as rows."""
+    e = table(spark, sf, "embeddings").select(F.explode("embedding").alias("f")).select(F.col("f").cast("double").alias("x"))
+    return validate.check_values(table(spark, sf, "events"), "depth", "value", 0, 400).unionByName(validate.check_values(e, "dino", "x"))
+
+
+@query("select count(*) filter (value > 50) as n_pass, count(*) as n_total, 'FAIL' as overall from events")
+def check_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Passes and the verdict."""
+    return validate.summary(table(spark, sf, "events").selectExpr("value > 50 as passed"))
+
+
+@query("select user_id, count(*) as frames, round(sum(value), 4) as seconds, round(count(*) / round(sum(value), 4), 6) as fps, round(max(event_id) * 1000 / 1e6, 6) as peak_mem_mb from events group by 1")
+def perf_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames a second and memory."""
+    r = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("frames"), F.round(F.sum("value"), 4).alias("seconds"), (F.max("event_id") * 1000).alias("peak_bytes"))
+    return rounded(validate.performance(r).drop("peak_bytes"), 6, "fps", "peak_mem_mb")
+
+
+@query("select 80 as largest, 64 as window, 16 as overlap")
+def probe_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The window to use, from what fitted."""
+    probes = spark.createDataFrame([(w, w <= 80) for w in validate.PROBE_WINDOWS], "window int, ok boolean")
+    return validate.recommend_window(probes, "window", "ok").select("largest", "window", "overlap")
+
+
+@query("""
+    select c_custkey, c_name as video_path, 30.0::double as fps, 0::bigint as num_frames, c_mktsegment = 'BUILDING' as has_depth, false as has_pose, false as has_state, null::integer as state_dim from customer
+""")
+def annotation_stub(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotation stubs, with claims from what is complete."""
+    from ..operators import store
+
+    c = table(spark, sf, "customer")
+    videos = c.select(F.col("c_custkey").cast("string").alias("video_id"), F.col("c_name").alias("path"), F.lit(0).alias("n_frames"))
+    done = c.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("video_id"), F.lit("depth").alias("branch"), F.lit(True).alias("complete"))
+    return store.annotations(videos, done).selectExpr("cast(video_id as bigint) as c_custkey", "video_path", "fps", "num_frames", "has_depth", "has_pose", "has_state", "state_dim")
