@@ -29,7 +29,7 @@ def sample_frames(frames: DataFrame, video: str, frame: str, n: int | None) -> D
 
 def linspace_positions(videos: DataFrame, total: str, n: int) -> DataFrame:
     """Explodes each video into n positions spread evenly over 0 .. total - 1, truncated; all where total <= n."""
-    at = f"case when {total} <= {n} then i when i = {n - 1} then {total} - 1 else cast(i * (({total} - 1) / {float(max(n - 1, 1))}D) as bigint) end"
+    at = f"case when {total} <= {n} then i when i = {n - 1} and i > 0 then {total} - 1 else cast(i * (({total} - 1) / {float(max(n - 1, 1))}D) as bigint) end"
     return videos.where(f"{total} > 0").withColumn("i", F.expr(f"explode(sequence(0L, least({total}, {n}L) - 1))")).withColumn("row_pos", F.expr(at)).drop("i")
 
 
