@@ -189,22 +189,27 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components among `members` (doc, comp) that share a shingle of their prefixes.
+    """Pairs of different components among `members` (doc, comp) that may be similar enough.
 
-    Shingles are ordered from rare to frequent; of two sets with similarity p, one of the first
-    n - ceil(p n) + 1 of each is common. Postings within one component go before the join.
+    Shingles are ordered from rare to frequent. Of two sets with similarity p, one of the first
+    n - ceil(p n) + 1 of each is common, and what follows the first common one in either set bounds
+    their overlap: it must reach p / (1 + p) of both sizes together. Copies that differ from a shared
+    original by edits of their own have these first, and so meet few others. Postings within one
+    component go before the join.
     """
     flat = sets.join(members, "doc").select("doc", "comp", "n", F.explode("shingles").alias("s"))
     rarity = flat.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     order = flat.join(rarity, "s")
     # shingles of one member alone come first in its order and can't be shared: only their number counts
     alone = order.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
-    ranked = order.join(alone, "doc").withColumn("rank", F.expr("row_number() over (partition by doc order by df, s)"))
-    prefix = ranked.where(f"n - shared + rank <= n - ceil({percent} * n / 100D) + 1").select("s", "doc", "comp", "n")
+    ranked = order.join(alone, "doc").withColumn("at", F.expr("n - shared + row_number() over (partition by doc order by df, s)"))
+    prefix = ranked.where(f"at <= n - ceil({percent} * n / 100D) + 1").select("s", "doc", "comp", "n", "at")
     mixed = prefix.groupBy("s").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("s")
     left = prefix.join(mixed, "s")
     x, y = left.alias("x"), left.alias("y")
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+    sized = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    reach = F.expr(f"{100 + percent} * (1 + least(x.n - x.at, y.n - y.at)) >= {percent} * (x.n + y.n)")
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & sized & reach)
     return met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
@@ -227,8 +232,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         shared.select("rep", F.explode(F.array("lo", "hi")).alias("pivot")).where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(), "pairs"
     )
     asked = shared.select(F.col("rep").alias("doc")).distinct()
-    texts = documents.select(F.col(key).cast("long").alias(key), F.col(text).alias(text)).join(asked.hint("shuffle_hash"), F.col(key) == F.col("doc"), "left_semi")
-    sets = work.materialize(shingle_sets(texts, key, text, width), "sets")
+    texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(asked.hint("shuffle_hash"), "doc", "left_semi")
+    sets = work.materialize(shingle_sets(texts, "doc", "text", width), "sets")
     links = work.materialize(verified(pairs, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     # a key that repeats with other texts ties their classes together
     of = named.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc", "rep")
