@@ -67,14 +67,14 @@ def as_text(a: str) -> Column:
     return F.expr(f"array_join(transform({a}, x -> lower(lpad(hex(x), 8, '0'))), '')")
 
 
-def signatures(df: DataFrame, key: list[str], text: str = "text", samples: int = 32) -> DataFrame:
+def signatures(df: DataFrame, key: list[str], text: str = "text", samples: int = 48) -> DataFrame:
     """key and signature of each row's whole text; null texts have no words, rows alike in `key` count as one text."""
     words = df.select(*key, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+")).alias("word"))
     terms = words.withColumn("term", F.xxhash64("word")).groupBy(*key, "term").agg(F.sum(F.expr("if(word = '', 0, 1)")).alias("signature"))
     return _signatures(terms, key, ["signature"], samples, [])
 
 
-def edited_fingerprints(documents: DataFrame, samples: int = 32) -> DataFrame:
+def edited_fingerprints(documents: DataFrame, samples: int = 48) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with likenesses.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many of the next

@@ -178,8 +178,9 @@ def scan(text: str | None, templates: list[Template], percent: int) -> list[dict
 
 
 def _within(x: dict, y: dict) -> bool:
-    """Whether another template matches more words of the same stretch, so that x is but a part of it."""
-    return x["matched"] < y["matched"] and x["first_word"] <= y["last_word"] and y["first_word"] <= x["last_word"]
+    """Whether another template matches more words of the same stretch, or as many of a shorter notice, so
+    that x is but a part of it or goes beyond it."""
+    return (x["matched"], x["coverage"]) < (y["matched"], y["coverage"]) and x["first_word"] <= y["last_word"] and y["first_word"] <= x["last_word"]
 
 
 FOUND = "array<struct<license:string,coverage:double,matched:int,first_word:int,last_word:int>>"

@@ -30,7 +30,7 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
         unit = left / sum(weight[s] for s in open_)
         full = [s for s in open_ if unit * weight[s] > cap * size[s]]
         for s in full or open_:
-            out[s] = cap * size[s] if full else unit * weight[s]
+            out[s] = float(cap * size[s]) if full else unit * weight[s]
         left -= sum(out[s] for s in full)
     return out
 
