@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
 import unicodedata
 from dataclasses import dataclass, field
@@ -209,6 +210,17 @@ def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix:
 
 
 @lru_cache(maxsize=2)
+def packed(path: str) -> bytes:
+    """A compiled automaton in short form: what the driver keeps and sends to workers."""
+    return pickle.dumps(load(path))
+
+
+@lru_cache(maxsize=1)
+def unpacked(data: bytes) -> Automaton:
+    """Once per worker process."""
+    return pickle.loads(data)
+
+
 def load(path: str) -> Automaton:
     """Compiles a `tokenizers` JSON file of the kind: NFC, white space, lower case; split; byte level; word ends."""
     with open(path, encoding="utf-8") as f:
@@ -222,11 +234,11 @@ def load(path: str) -> Automaton:
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the ids of each whole text as an array; a null or empty text has none. No shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(load(path))
+    shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        a = shared.value
+        a = unpacked(shared.value)
         return texts.map(lambda t: np.frombuffer(a.encode(t), "<u4").astype(np.int32), na_action=None)
 
     return df.withColumn(out, ids(F.col(text)))
@@ -234,11 +246,11 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the decoded text of an array of ids; null where it is null. No shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(load(path))
+    shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("string")
     def texts(given: pd.Series) -> pd.Series:
-        a = shared.value
+        a = unpacked(shared.value)
         return given.map(lambda x: None if x is None else a.decode(np.asarray(x, "<u4").tobytes()), na_action=None)
 
     return df.withColumn(out, texts(F.col(ids)))
@@ -247,11 +259,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256: encoded and decoded again where the text is, so
     ids and decoded texts, several times the input, never leave the worker. Columns of these names are replaced."""
-    shared = df.sparkSession.sparkContext.broadcast(load(path))
+    shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def both(texts: pd.Series) -> pd.DataFrame:
-        a, rows = shared.value, []
+        a, rows = unpacked(shared.value), []
         for t in texts:
             ids = a.encode(t)
             rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(a.decode(ids).encode()).hexdigest()))

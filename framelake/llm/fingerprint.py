@@ -41,6 +41,8 @@ def _signatures(terms: DataFrame, keys: list[str], weights: list[str], samples:
     `terms`: keys, term, and a weight column for each text. If it is partitioned by the keys, so is the
     result, without a shuffle.
     """
+    if samples <= 0 or samples % AT_ONCE:
+        raise ValueError(f"samples must be a positive multiple of {AT_ONCE}")
     groups = samples // AT_ONCE
     logs = terms.withColumns({w: F.expr(f"case when {w} > 0 then ln({w}) end") for w in weights})
     spread = logs.withColumn("cws__group", F.explode(F.array(*[F.lit(i) for i in range(groups)])))

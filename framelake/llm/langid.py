@@ -49,6 +49,20 @@ def grams(text: str, table: np.ndarray) -> np.ndarray:
     return np.concatenate([code[code != SPACE], two + BASE**3, three[middle] + 2 * BASE**3])
 
 
+def string_grams(text: str) -> Counter[str]:
+    """The same n-grams as text, counted by word: a word's are those of itself between two spaces."""
+    out: Counter[str] = Counter()
+    lower = "".join([(x if len(x := c.lower()) == 1 else c) if c.isalpha() else " " for c in text])
+    for word, n in Counter(lower.split()).items():
+        padded = f" {word} "
+        for i, c in enumerate(padded[:-1]):
+            out[padded[i : i + 2]] += n
+            if i:
+                out[c] += n
+                out[padded[i - 1 : i + 2]] += n
+    return out
+
+
 def ranked(keys: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
     """The most frequent keys in order; the smaller key first among equals."""
     order = counts.astype(np.int64) * (1 << 32) - keys
@@ -111,28 +125,25 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     sample = rows.join(F.broadcast(share), F.col(lang) == F.col("langid__lang")).where(point <= F.col("langid__below"))
 
     @F.pandas_udf("map<string,long>")
-    def words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: Counter("".join(c.lower() if c.isalpha() else " " for c in t[:chars_per_doc]).split()))
-
-    counted = (
-        sample.select(F.col(lang).alias("lang"), F.explode(words(F.col(text))).alias("word", "n"))
-        .groupBy("lang", "word")
-        .agg(F.sum("n").alias("n"))
-        .where(F.length("word") <= 60)
-    )
-    # words of the sample, so bounded by it; n-grams of whole words and of word ends follow from them
-    found = [(r["lang"], r["word"], r["n"]) for r in counted.orderBy(F.desc("n"), "lang", "word").limit(200_000).collect()]
+    def counted(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: string_grams(t[:chars_per_doc]))
+
+    total = sample.select(F.col(lang).alias("lang"), F.explode(counted(F.col(text))).alias("gram", "n")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # a language's most frequent n-grams, with some to spare for ties, and its letters
+    first = total.withColumn("i", F.expr("row_number() over (partition by lang order by n desc, gram)")).where(f"i <= {4 * top} or char_length(gram) = 1")
+    found = [(r["lang"], r["gram"], r["n"]) for r in first.collect()]
     letters: Counter[str] = Counter()
-    for _, word, n in found:
-        for c in word:
-            letters[c] += n
+    for _, gram, n in found:
+        if len(gram) == 1:
+            letters[gram] += n
     alphabet = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: BASE - 2]]
-    table = symbol_table(alphabet)
+    place = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": SPACE}
     totals: dict[str, Counter[int]] = {x: Counter() for x in langs}
-    for name, word, n in found:
-        total = totals[name]
-        for g in grams(word, table).tolist():
-            total[g] += n
+    for name, gram, n in found:
+        key = 0
+        for c in gram:
+            key = key * BASE + place.get(c, OTHER)
+        totals[name][key + (len(gram) - 1) * BASE**3] += n
     profiles = []
     for x in langs:
         keys = np.fromiter(totals[x].keys(), np.int64, len(totals[x]))

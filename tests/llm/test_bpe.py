@@ -23,14 +23,18 @@ def real():
     return t
 
 
+def auto():
+    return bpe.unpacked(bpe.packed(PATH))
+
+
 def ids(text):
-    return np.frombuffer(bpe.load(PATH).encode(text), "<u4").tolist()
+    return np.frombuffer(auto().encode(text), "<u4").tolist()
 
 
 def same(real, text):
     want = real.encode(text, add_special_tokens=False).ids
     assert ids(text) == want, text
-    assert bpe.load(PATH).decode(bpe.load(PATH).encode(text)) == real.decode(want, skip_special_tokens=False)
+    assert auto().decode(auto().encode(text)) == real.decode(want, skip_special_tokens=False)
 
 
 TRICKY = ["", " ", "aaa aaaa aaaaaaaaaaaaaaa", "don't I'LL we'Ve", "<|endoftext|>x<|startoftext|> <|ENDOFTEXT|>", "ΑΣ ΣΑΣ İ", "\x1c a\x1db \x85 \xa0y", "éà Å ﬁ é", "日本語 12345 ½ ²", "😀😀!!!...??", "á́ K Ω", "x" * 5000, "ab" * 3000]

@@ -46,6 +46,13 @@ def test_grams_and_ranks():
         want = by_hand(text, alphabet)
         keys, counts = np.unique(langid.grams(text, table), return_counts=True)
         assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == want
+        spelled = Counter()
+        for g, n in langid.string_grams(text).items():
+            key = 0
+            for c in g:
+                key = key * 256 + (0 if c == " " else alphabet.index(c) + 2 if c in alphabet else 1)
+            spelled[key + (len(g) - 1) * 256**3] += n
+        assert spelled == want
         order = sorted(want, key=lambda k: (-want[k], k))
         assert langid.ranked(keys, counts, 5).tolist() == order[:5] and langid.ranked(keys, counts, 500).tolist() == order
     assert not len(langid.grams("12 ,.", table))
