@@ -106,3 +106,8 @@ def geodesic_degrees(a: list[Column], b: list[Column]) -> Column:
     """Angle between two rotations."""
     trace = sum((a[i] * b[i] for i in range(1, 9)), a[0] * b[0])
     return F.degrees(F.acos(F.least(F.greatest((trace - 1.0) / 2.0, F.lit(-1.0)), F.lit(1.0))))
+
+
+def relative_quaternion(q: list[Column], t: list[Column], ref_q: list[Column], ref_t: list[Column]) -> tuple[list[Column], list[Column]]:
+    """q q_ref*, t - t_ref: a single frame's pose relative to a reference, without turning the move."""
+    return quaternion_multiply(q, quaternion_conjugate(ref_q)), [x - y for x, y in zip(t, ref_t, strict=True)]

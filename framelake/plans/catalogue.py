@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import images
 from ..functions import rotation as rot
 from ..functions import vectors
 from ..operators import alignment, blocks, compare, depth, keyframes, lookup, sampling, similarity, validate
@@ -387,6 +388,37 @@ def patch_grid(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("g", vectors.patch_grid("height", "width")).selectExpr("p_partkey", "g.h as h", "g.w as w", "height % 16 = 0 and width % 16 = 0 as native")
 
 
+@query("""
+    with s as (select p_partkey, 240 + p_size * 13 as h, 320 + p_size * 31 as w from part),
+    k as (select *, least(518.0::double / h, 518.0::double / w) as fit, greatest(h, w) / least(h, w)::double as ratio from s),
+    q as (select *, case when ratio > 1.78 then greatest(cast(round_even(floor(518 * 1.777::double / ratio) / 14, 0) * 14 as integer), 14) else 518 end as side from k),
+    c as (select *, greatest(side / h::double, side / w::double) as cover from q)
+    select p_partkey, cast(ceil(h * fit / 14) * 14 as integer) as fit_h, cast(ceil(w * fit / 14) * 14 as integer) as fit_w,
+        cast(case when round_even(h * cover / 14, 0) * 14 < side then ceil(h * cover / 14) * 14 else round_even(h * cover / 14, 0) * 14 end as integer) as cover_h,
+        cast(case when round_even(w * cover / 14, 0) * 14 < side then ceil(w * cover / 14) * 14 else round_even(w * cover / 14, 0) * 14 end as integer) as cover_w from c
+""")
+def image_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """sizes to which models resize."""
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "240 + p_size * 13 as h", "320 + p_size * 31 as w")
+    both = rows.select("p_partkey", images.contained_size("h", "w").alias("fit"), images.covering_size("h", "w").alias("cover"))
+    return both.selectExpr("p_partkey", "fit.h as fit_h", "fit.w as fit_w", "cover.h as cover_h", "cover.w as cover_w")
+
+
+@query("select event_id, round((event_id % 256 / 255.0::double - 0.456) / 0.224, 6) as green, event_id % 7 as red, format('frame={:05d} t={:06.2f}', event_id, event_id / 30.0::double) as label from events where event_id % 3 <> 0")
+def image_channels(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalised channels, colour order, labels."""
+    rows = table(spark, sf, "events").where("event_id % 3 <> 0").selectExpr("event_id", "event_id % 256 as v", "array(0L, 1L, event_id % 7) as bgr", "30D as fps")
+    out = rows.select("event_id", images.normalised("v", 1).alias("green"), images.swap_channels("bgr")[0].alias("red"), images.frame_label("event_id", "fps").alias("label"))
+    return rounded(out, 6, "green")
+
+
+@query("select vec_id, case when vec_id % 2 = 0 then 'dinov3_vits16plus' else 'dinov3_vits16' end as model from embeddings")
+def model_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names and aliases to models."""
+    rows = table(spark, sf, "embeddings").selectExpr("vec_id", "case when vec_id % 2 = 0 then 'facebook/dinov3-vits16plus' when vec_id % 3 = 0 then 'dinov3-vits16' else 'dinov3_vits16' end as given")
+    return rows.select("vec_id", images.model_name("given").alias("model"))
+
+
 # --- lookups -----------------------------------------------------------------------------------
 
 
@@ -572,6 +604,18 @@ def rot_valid(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("vec_id", rot.is_rotation([x * k for x in m]).alias("valid"))
 
 
+@query(f"""
+    with {_Q}, f as (select *, {", ".join(f"first_value({c}) over w as f_{c}" for c in "abcd")}, {", ".join(f"first_value({c}) over w as f_{c}" for c in ("tx", "ty", "tz"))} from v window w as (partition by label order by vec_id))
+    select label, vec_id, round(d * f_d + a * f_a + b * f_b + c * f_c, 6) as qw, round(-d * f_a + a * f_d - b * f_c + c * f_b, 6) as qx, round(tx - f_tx, 6) as dx from f
+""")
+def quat_relative(spark: SparkSession, sf: str) -> DataFrame:
+    """rotation and move of each frame relative to the first, in quaternions."""
+    names = ("a", "b", "c", "d", "tx", "ty", "tz")
+    f = _quaternions(spark, sf).withColumns({f"f_{c}": F.expr(f"first_value({c}) over (partition by label order by vec_id)") for c in names})
+    q, t = rot.relative_quaternion([F.col(c) for c in "abcd"], [F.col(f"t{x}") for x in "xyz"], [F.col(f"f_{c}") for c in "abcd"], [F.col(f"f_t{x}") for x in "xyz"])
+    return rounded(f.select("label", "vec_id", q[3].alias("qw"), q[0].alias("qx"), t[0].alias("dx")), 6, "qw", "qx", "dx")
+
+
 _FIRST = f"""{_R}, f as (select *, {", ".join(f"first_value({c}) over w as f_{c}" for c in ("tx", "ty", "tz", *[f"r{i}" for i in range(9)]))} from r window w as (partition by label order by vec_id)),
     g as (select label, vec_id, {", ".join(" + ".join(f"r{3 * i + k} * f_r{3 * j + k}" for k in range(3)) + f" as g{3 * i + j}" for i in range(3) for j in range(3))}, tx, ty, tz, f_tx, f_ty, f_tz from f)"""
 

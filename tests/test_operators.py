@@ -255,3 +255,21 @@ def test_files(spark, tmp_path, monkeypatch):
     assert files.find_checkpoint(listing) == "/m/2/model.safetensors" and files.largest_file(listing) == "/m/2/model.safetensors"
     with pytest.raises(FileNotFoundError):
         files.find_checkpoint(listing.limit(0))
+
+
+def test_image_helpers(spark):
+    from framelake.functions import images
+
+    sizes = spark.createDataFrame([(480, 640), (100, 2000), (518, 518)], "h int, w int")
+    got = [tuple(tuple(x) for x in r) for r in sizes.select(images.contained_size("h", "w"), images.covering_size("h", "w")).collect()]
+    assert got[0][0] == (392, 518) and got[0][1][0] == 518 and got[2] == ((518, 518), (518, 518))
+    assert all(h % 14 == 0 and w % 14 == 0 for r in got for h, w in r)
+    with pytest.raises(Exception, match="unknown model"):
+        spark.createDataFrame([("nothing",)], "n string").select(images.model_name("n")).collect()
+    assert '"fps": 30' in images.render_report(fps=30) and len(__import__("json").loads(images.render_report())) == 14
+    with pytest.raises(ValueError):
+        images.render_report(colour=1)
+    with pytest.warns(UserWarning, match="twice") as seen:
+        images.warn_once("k", "twice")
+        images.warn_once("k", "twice")
+    assert len(seen) == 1
