@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import images
 from ..functions import rotation as rot
 from ..functions import vectors
-from ..operators import alignment, blocks, compare, depth, keyframes, lookup, sampling, similarity, validate
+from ..operators import alignment, blocks, compare, depth, keyframes, lookup, sampling, similarity, store, validate
+from ..session import new_path
 from ..sources import files
+from ..streaming import frames as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -404,10 +406,10 @@ def image_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return both.selectExpr("p_partkey", "fit.h as fit_h", "fit.w as fit_w", "cover.h as cover_h", "cover.w as cover_w")
 
 
-@query("select event_id, round((event_id % 256 / 255.0::double - 0.456) / 0.224, 6) as green, event_id % 7 as red, format('frame={:05d} t={:06.2f}', event_id, event_id / 30.0::double) as label from events where event_id % 3 <> 0")
+@query("select event_id, round((event_id % 256 / 255.0::double - 0.456) / 0.224, 6) as green, event_id % 7 as red, format('frame={:05d} t={:06.2f}', event_id, event_id / 30.0::double) as label from events")
 def image_channels(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised channels, colour order, labels."""
-    rows = table(spark, sf, "events").where("event_id % 3 <> 0").selectExpr("event_id", "event_id % 256 as v", "array(0L, 1L, event_id % 7) as bgr", "30D as fps")
+    rows = table(spark, sf, "events").selectExpr("event_id", "event_id % 256 as v", "array(0L, 1L, event_id % 7) as bgr", "30D as fps")
     out = rows.select("event_id", images.normalised("v", 1).alias("green"), images.swap_channels("bgr")[0].alias("red"), images.frame_label("event_id", "fps").alias("label"))
     return rounded(out, 6, "green")
 
@@ -631,13 +633,11 @@ def frame0_relative(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, 6, *[f"p{i}" for i in range(9)])
 
 
-@query(f"with {_FIRST} select label, vec_id, round(degrees(acos(least(greatest((g0 + g4 + g8 - 1) / 2, -1), 1))), 4) as angle from g where (g0 + g4 + g8 - 1) / 2 < 0.999")
+@query(f"with {_FIRST} select label, vec_id, round(degrees(acos(least(greatest((g0 + g4 + g8 - 1) / 2, -1), 1))), 4) as angle from g")
 def geodesic(spark: SparkSession, sf: str) -> DataFrame:
-    """F16: angles to the first frame; those near 0, where acos has no digits, are left out."""
+    """F16: angles to the first frame."""
     r = _rotations(spark, sf).withColumns({f"f_r{i}": F.expr(f"first_value(r{i}) over (partition by label order by vec_id)") for i in range(9)})
-    a, b = rot.cols("r"), rot.cols("f_r")
-    cos = (sum((x * y for x, y in zip(a[1:], b[1:], strict=True)), a[0] * b[0]) - 1) / 2
-    return rounded(r.where(cos < 0.999).select("label", "vec_id", rot.geodesic_degrees(a, b).alias("angle")), 4, "angle")
+    return rounded(r.select("label", "vec_id", rot.geodesic_degrees(rot.cols("r"), rot.cols("f_r")).alias("angle")), 4, "angle")
 
 
 @query(f"with {_R} select vec_id, round(-(r0 * tx + r3 * ty + r6 * tz), 6) as cx, round(-(r1 * tx + r4 * ty + r7 * tz), 6) as cy, round(-(r2 * tx + r5 * ty + r8 * tz), 6) as cz from r")
@@ -754,9 +754,72 @@ def probe_window(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def annotation_stub(spark: SparkSession, sf: str) -> DataFrame:
     """Annotation stubs, with claims from what is complete."""
-    from ..operators import store
-
     c = table(spark, sf, "customer")
     videos = c.select(F.col("c_custkey").cast("string").alias("video_id"), F.col("c_name").alias("path"), F.lit(0).alias("n_frames"))
     done = c.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("video_id"), F.lit("depth").alias("branch"), F.lit(True).alias("complete"))
     return store.annotations(videos, done).selectExpr("cast(video_id as bigint) as c_custkey", "video_path", "fps", "num_frames", "has_depth", "has_pose", "has_state", "state_dim")
+
+
+# --- store and streams -----------------------------------------------------------------------------
+
+
+def _store(spark: SparkSession) -> store.FeatureStore:
+    return store.FeatureStore(spark, new_path(spark, "store"))
+
+
+@query("select cast(label as varchar) as video_id, vec_id as frame_idx, 0 as token_idx, 64 as width, round(embedding[1]::double, 6) as first from embeddings")
+def store_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens written for all videos at once and read back."""
+    kept = _store(spark)
+    kept.write("dino", table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "0 as token_idx", "embedding as vec"))
+    return rounded(kept.read("dino").selectExpr("video_id", "frame_idx", "token_idx", "size(vec) as width", "cast(vec[0] as double) as first"), 6, "first")
+
+
+@query("""
+    select cast(label as varchar) as video_id, vec_id as frame_idx, cast(round_even((least(greatest(embedding[1], 0::float), 1::float) * 65535::float)::float, 0) as integer) as px from embeddings
+""")
+def store_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """K2, K6, K7, K8: depth appended in two blocks, the second one twice; a repeated block counts once."""
+    kept = _store(spark)
+    rows = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "1 as height", "1 as width", "slice(embedding, 1, 1) as depth")
+    half = rows.agg(F.expr("percentile_approx(frame_idx, 0.5)")).first()[0] or 0
+    kept.write("depth", rows.where(F.col("frame_idx") <= half), block_id=0, reset=True, complete=False)
+    for _ in range(2):
+        kept.write("depth", rows.where(F.col("frame_idx") > half), block_id=1, reset=False, complete=False)
+    return kept.read("depth").selectExpr("video_id", "frame_idx", "px[0] as px")
+
+
+@query("select cast(label as varchar) as video_id, count(*) as n_frames, 9::bigint as width, 'translation_rot6d' as representation, true as complete, 'pose' as branch from embeddings group by 1")
+def store_inspect(spark: SparkSession, sf: str) -> DataFrame:
+    """What a store says of its videos."""
+    kept = _store(spark)
+    kept.write("pose", table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "slice(embedding, 1, 9) as pose"))
+    return kept.inspect()
+
+
+@query(f"with recursive {_KEYS} select user_id, f as event_id from r where is_key")
+def stream_keyframes(spark: SparkSession, sf: str) -> DataFrame:
+    """T4: keyframes of a stream of frames, the last one of a video carried as state."""
+    kind = table(spark, sf, "events").schema
+    source = spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return _drain(streams.keyframe_stream(source, "user_id", "event_id", 1000), "user_id bigint, event_id bigint")
+
+
+@query("select user_id, event_id, round(value, 4) as v from events")
+def stream_depth(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of a stream aligned to the one before, carried as state."""
+    e = sampling.with_positions(table(spark, sf, "events").select("user_id", "event_id", "value"), "user_id", "event_id")
+    b = blocks.assign_blocks(e, "row_pos", "n_frames", 16, 4).selectExpr("user_id", "event_id", "block_id", "written", "case when block_id = 0 then value else (value + 1 + block_id % 3) * (1 + block_id % 4) / 2 end as raw")
+    path = new_path(spark, "blocks")
+    b.write.parquet(path)
+    aligned = streams.depth_stream(spark.readStream.schema(b.schema).parquet(path), "user_id", "block_id", "event_id", "raw", "written", 2)
+    return rounded(_drain(aligned, "user_id bigint, event_id bigint, raw double").withColumnRenamed("raw", "v"), 4, "v")
+
+
+def _drain(stream: DataFrame, schema: str) -> DataFrame:
+    """Runs a stream over what is there, into a folder that driver and executors share."""
+    spark = stream.sparkSession
+    path = new_path(spark, "stream")
+    run = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/rows")
+    run.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{path}/rows")

@@ -1,10 +1,11 @@
-"""Sessions, and the package's way to executors."""
+"""Sessions, folders that driver and executors share, and the package's way to executors."""
 
 from __future__ import annotations
 
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -35,3 +36,22 @@ def ship(spark: SparkSession) -> None:
     base = Path(tempfile.mkdtemp(prefix="framelake-zip-"))
     sc.addPyFile(shutil.make_archive(str(base / "framelake"), "zip", ROOT, "framelake"))
     sc._framelake_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the setting is absent (tests, one machine), a temporary folder is made and set.
+    """
+    there = spark.conf.get("spark.checkpoint.dir", None)
+    if not there:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        there = found.get() if found.isDefined() else None
+    if not there:
+        there = "file://" + tempfile.mkdtemp(prefix="framelake-")
+        spark.sparkContext.setCheckpointDir(there)
+    return there
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
