@@ -1,31 +1,11 @@
-"""Places shared by driver and executors, lineage cuts and dense row numbers."""
+"""Lineage cuts through written tables, and dense row numbers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the setting is absent (tests, one machine), a temporary folder is made and set.
-    """
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        there = found.get() if found.isDefined() else None
-    if not there:
-        there = "file://" + tempfile.mkdtemp(prefix="framelake-")
-        spark.sparkContext.setCheckpointDir(there)
-    return there
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from ..session import new_path
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
