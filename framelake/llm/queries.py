@@ -86,4 +86,26 @@ SQL = {
                case when payload_bytes >= 100 and page_id is distinct from first then first end as refers_to
         from q
     """,
+    "op9_near_dedup": r"""
+        with recursive w as (
+            select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+        ), s as (
+            select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from w
+        ), f as (
+            select doc_id, len(s) as n, unnest(s) as g from s
+        ), links as (
+            select a.doc_id as a, b.doc_id as b from f a join f b on a.g = b.g and a.doc_id < b.doc_id
+            group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), e as (
+            select a, b from links union all select b, a from links
+        ), reach(doc_id, root) as (
+            select doc_id, doc_id from documents
+            union
+            select e.b, r.root from reach r join e on e.a = r.doc_id where r.root < e.b
+        ), c as (
+            select doc_id, min(root) as component_id from reach group by 1
+        )
+        select s.doc_id, cast(len(s.s) as bigint) as n_shingles, c.component_id, s.doc_id = c.component_id as kept from s join c on c.doc_id = s.doc_id
+    """,
 }

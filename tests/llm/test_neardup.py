@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from compare import assert_same, connection
 
 from framelake.llm import neardup as nd
 from framelake.llm import queries
@@ -128,3 +129,8 @@ def test_dedup_keeps_columns_and_one_of_each(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = nd.deduplicate(df)
     assert got.columns == df.columns and sorted(r["source"] or "" for r in got.collect()) == ["", "t", "u"]
+
+
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    assert_same(queries.op9_near_dedup(spark, sf), connection(sf), queries.SQL["op9_near_dedup"])
