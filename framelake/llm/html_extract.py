@@ -30,8 +30,9 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article main section div nav aside header footer form ul ol dl table figure blockquote body html details dialog menu select button span fieldset p td li tr".split())
+HEADER_WORDS = frozenset("header topbar".split())
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice newsletter subscribe signup popup modal overlay share sharing social related recommended comment comments reply replies discussion widget toolbar pager pagination login search copyright disclaimer contentinfo complementary alert".split()
+    "ad ads advert adverts advertisement sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice newsletter subscribe signup popup modal overlay share sharing social related recommended comment comments reply replies discussion widget toolbar pager pagination login search copyright disclaimer contentinfo complementary alert adsbygoogle respond disqus skip legal trending popular recommendations paywall".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -83,7 +84,7 @@ def _marks(tag: str, attrs: str, in_article: bool) -> int:
             elif key in ("class", "id", "role", "aria-label") and tag != "main":
                 for token in value.split():
                     parts = set(re.split(r"[^a-z]+", token))
-                    if parts & BOILER_WORDS and not parts & {"no", "without", "has", "with"} or token == "banner":
+                    if parts & BOILER_WORDS and not parts & {"no", "without", "has", "with"} or token == "banner" or parts & HEADER_WORDS and not in_article:
                         boiler = True
                     elif tag in ("div", "section") and key in ("class", "id") and parts & ARTICLE_WORDS:
                         opens = True
@@ -92,6 +93,16 @@ def _marks(tag: str, attrs: str, in_article: bool) -> int:
     return 2 if opens else 0
 
 
+def _implied(tag: str, stack: list[tuple[str, int]]) -> int:
+    """How many open elements a start tag ends: a block ends an open paragraph with the spans in it, an
+    item or a cell the one before it."""
+    ended = "p" if tag in BLOCK_TAGS and tag not in ("li", "td", "tr") else tag if tag in ("li", "td", "tr") else None
+    n = 0
+    while ended and n < len(stack) and (stack[-1 - n][0] == "span" or ended != "p" and stack[-1 - n][0] == "p"):
+        n += 1
+    return n + 1 if ended and n < len(stack) and stack[-1 - n][0] == ended else 0
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order; references are decoded and white space is one space."""
     out: list[Block] = []
@@ -155,9 +166,10 @@ def blocks(page: str) -> list[Block]:
                     if t == tag:
                         break
         elif not attrs.endswith("/"):
-            if tag in ("p", "li", "td", "tr") and stack and stack[-1][0] == tag:
-                boiler -= stack[-1][1] == 1
-                stack.pop()
+            for _ in range(_implied(tag, stack)):
+                _, kind = stack.pop()
+                boiler -= kind == 1
+                article -= kind == 2
             kind = _marks(tag, attrs, article > 0)
             if kind == 1 and tag == "span":
                 close()

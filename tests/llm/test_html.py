@@ -28,6 +28,9 @@ def page(body):
         ("<nav>only</nav>", ""),
         (f"<article><p title=\"a>b\">{PROSE}</p><p hidden>gone</p></article>", PROSE),
         (f"<article><p>{PROSE}</p></article><script>unclosed", PROSE),
+        (f"<article><p>{PROSE}<span class=ad>Buy<p>{PROSE}</article>", f"{PROSE}\n{PROSE}"),
+        (f"<div class=site-header>{PROSE}</div><article><div class=header><h1>T</h1></div><p>{PROSE}</p></article><div class=legal>{PROSE}</div>", f"T\n{PROSE}"),
+        (f"<ul class=menu><li><p>{PROSE}<li class=x>b</ul><div class=post><ul><li>One<li>Two</ul><p>{PROSE}</div>", f"One\nTwo\n{PROSE}"),
     ],
 )
 def test_pages(body, want):
