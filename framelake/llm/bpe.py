@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -49,18 +50,20 @@ class Automaton:
     pattern: str
     specials: dict[str, int]
     symbols: list[str] = field(default_factory=byte_symbols)
-    cache_words: int = 300_000
+    cache_words: int = 100_000
     _cache: dict[str, bytes] = field(default_factory=dict)
     _older: dict[str, bytes] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        packed = zstandard.compress(b"".join(self.arcs), 3)
-        return {k: v for k, v in self.__dict__.items() if k[0] != "_"} | {"arcs": packed, "_cache": {}, "_older": {}}
+        rows = {row: i for i, row in enumerate(dict.fromkeys(self.arcs))}
+        short = (zstandard.compress(b"".join(rows), 3), np.array([rows[row] for row in self.arcs], np.int32))
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"} | {"arcs": short, "_cache": {}, "_older": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        flat, width = zstandard.decompress(state["arcs"]), (self.states + 7) // 8
-        self.arcs = [flat[i : i + width] for i in range(0, len(flat), width)]
+        flat, width = zstandard.decompress(state["arcs"][0]), (self.states + 7) // 8
+        rows = [flat[i : i + width] for i in range(0, len(flat), width)]
+        self.arcs = [rows[i] for i in state["arcs"][1].tolist()]  # tokens with the same arcs share them
         self.prepare()
 
     def prepare(self) -> Automaton:
@@ -261,13 +264,15 @@ def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     ids and decoded texts, several times the input, never leave the worker. Columns of these names are replaced."""
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def both(texts: pd.Series) -> pd.DataFrame:
-        a, rows = unpacked(shared.value), []
-        for t in texts:
-            ids = a.encode(t)
-            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(a.decode(ids).encode()).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def both(texts: pa.Array) -> pa.Array:
+        a, n, ids_sha, decoded_sha = unpacked(shared.value), [], [], []
+        for t in texts:  # one text at a time: a batch is not held twice
+            ids = a.encode(t.as_py())
+            n.append(len(ids) // 4)
+            ids_sha.append(hashlib.sha256(ids).hexdigest())
+            decoded_sha.append(hashlib.sha256(a.decode(ids).encode()).hexdigest())
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     got = df.withColumn("bpe__made", both(F.col(text)))
     return got.withColumns({c: F.col(f"bpe__made.{c}") for c in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop("bpe__made")

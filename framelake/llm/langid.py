@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,10 +166,11 @@ def predict(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     text that is null or has no letter, and where nothing was learned."""
     shared = df.sparkSession.sparkContext.broadcast(profiles)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def both(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double")
+    def both(texts: pa.Array) -> pa.Array:
         model = shared.value
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
+        made = [model.predict(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["lang_pred", "score"])
 
     got = df.withColumn("langid__made", both(F.col(text)))
     return got.withColumns({c: F.col(f"langid__made.{c}") for c in ("lang_pred", "score")}).drop("langid__made")
