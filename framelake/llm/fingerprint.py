@@ -91,6 +91,7 @@ def edited_fingerprints(documents: DataFrame, samples: int = 48) -> DataFrame:
     numbered, total = work.with_row_numbers(names, ["doc_id", "tid"], "rn")
     lender = numbered.select(((F.col("rn") + (total - 1)) % max(total, 1)).alias("rn"), F.col("k1").alias("next_k1"), F.col("k2").alias("next_k2"), F.col("doc_id").alias("next_doc"))
     links = work.materialize(numbered.join(lender, "rn"), "links")
+    work.release(numbered)
     borrows = links.select(F.col("next_k1").alias("k1"), F.col("next_k2").alias("k2"), F.col("k1").alias("to_k1"), F.col("k2").alias("to_k2"), F.expr("n_chars div 4").alias("lend"))
 
     once = keyed.select("k1", "k2", "text").withColumn("copy", F.expr("row_number() over (partition by k1, k2 order by 1)")).where("copy = 1").drop("copy")

@@ -183,9 +183,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
+            labels = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            labels.framelake_path = edges.framelake_path
+            return labels
+        before, old = now, edges
         edges = work.materialize(_star(_star(edges, True), False), "edges")
+        work.release(old)
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,8 +251,10 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     if not members.isEmpty():
         more = work.materialize(verified(_prefix_pairs(members, sets, percent), sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "more")
         if not more.isEmpty():
-            labels = components(known.union(more))
-
+            old, labels = labels, components(known.union(more))
+            work.release(old)
+        work.release(more)
+    work.release(shared, pairs, sets, links, known, members)
     return _labelled(made, classes, labels, key)
 
 

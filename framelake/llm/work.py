@@ -20,7 +20,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.framelake_path = path
+    return made
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes what materialize() wrote, once nothing that is still to run reads it."""
+    for df in frames:
+        path = df.__dict__.pop("framelake_path", None)
+        if path:
+            drop_path(df.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -49,4 +59,6 @@ def with_row_numbers(df: DataFrame, order: list[str | Column], number: str) -> t
     p, off = f"{number}__part", f"{number}__off"
     base = spark.createDataFrame(offsets, f"{p} long, {off} long")
     numbered = placed.withColumn(p, part).join(F.broadcast(base), p)
-    return numbered.withColumn(number, F.col(off) + F.col(local).bitwiseAND(F.lit((1 << 33) - 1))).drop(local, p, off), total
+    out = numbered.withColumn(number, F.col(off) + F.col(local).bitwiseAND(F.lit((1 << 33) - 1))).drop(local, p, off)
+    out.framelake_path = placed.framelake_path
+    return out, total
