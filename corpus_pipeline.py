@@ -45,9 +45,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over `documents`, each written as Parquet and read again but the last; what a stage
+    has read is deleted once the next one's rows are written."""
     docs = queries.table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = work.materialize(docs, f"stage-{name}")
+        made = stage(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            return made
+        made = work.materialize(made, f"stage-{name}")
+        work.release(docs)
+        docs = made
     return docs
