@@ -66,8 +66,10 @@ def stretched(value: str, low: str, high: str) -> Column:
 def percentile_stretch(rows: DataFrame, values: list[str], low: float = 0.02, high: float = 0.98, by: list[str] | None = None) -> DataFrame:
     """Replaces each value by its stretch between two exact percentiles, over all rows or each group."""
     cuts = [F.expr(f"percentile({v}, array({low}D, {high}D))").alias(f"stretch__{v}") for v in values]
-    edges = rows.groupBy(*by).agg(*cuts) if by else rows.agg(*cuts)
-    joined = rows.join(edges, by) if by else rows.crossJoin(F.broadcast(edges))  # one row
+    if by:
+        joined = rows.join(rows.groupBy(*by).agg(*cuts), by)
+    else:
+        joined = rows.withColumn("stretch__all", rows.agg(F.struct(*cuts)).scalar()).select("*", "stretch__all.*").drop("stretch__all")
     return joined.withColumns({v: stretched(v, f"stretch__{v}[0]", f"stretch__{v}[1]") for v in values}).drop(*[f"stretch__{v}" for v in values])
 
 

@@ -39,7 +39,7 @@ def fit_similarity(points: DataFrame, keys: list[str], rotations: bool = False,
     """
     s, d = ("sx", "sy", "sz"), ("dx", "dy", "dz")
     means = points.groupBy(*keys).agg(*[F.avg(c).alias(f"sim__{c}") for c in (*s, *d)])
-    on = points.join(means, keys) if keys else points.crossJoin(F.broadcast(means))
+    on = points.join(means, keys)
     spread = F.expr("sqrt(" + " + ".join(f"pow({c} - sim__{c}, 2)" for c in s) + ")")
     sums = [F.count(F.lit(1)).alias("n"), F.avg(spread).alias("spread"), *[F.first(f"sim__{c}").alias(f"m_{c}") for c in (*s, *d)]]
     sums += [F.avg(F.expr(f"({b} - sim__{b}) * ({a} - sim__{a})")).alias(f"c{i}{j}") for i, b in enumerate(d) for j, a in enumerate(s)]

@@ -314,8 +314,7 @@ def roundtrip_error(spark: SparkSession, sf: str) -> DataFrame:
 def keyframe_metric_depth(spark: SparkSession, sf: str) -> DataFrame:
     """W2, A1, W3, F2, F1 on one table: keyframe fits, interpolated, applied, inverted."""
     e = table(spark, sf, "embeddings").selectExpr("label as video", "vec_id as f", "transform(embedding, x -> cast(x as double)) as e")
-    n = e.agg((F.max("f") + 1).alias("n"))  # one row
-    base = e.crossJoin(F.broadcast(n))
+    base = e.withColumn("n", e.agg(F.max("f") + 1).scalar())
     partner = e.select(F.col("f").alias("g"), F.col("e").alias("p"))
     paired = base.join(partner, F.expr("(f + 1) % n = g")).selectExpr("video", "f", "transform(e, x -> x + 1) as raw", "zip_with(e, p, (x, y) -> 3 * (x + 1) + 0.2D * y) as metric")
     keys = keyframes.keyframes(e, "video", "f", 30)
@@ -544,8 +543,7 @@ _VECS = """
 
 def _vec_pairs(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
-    n = e.agg((F.max("vec_id") + 1).alias("n"))  # one row
-    left = e.select("vec_id", F.col("embedding").alias("a")).crossJoin(F.broadcast(n))
+    left = e.select("vec_id", F.col("embedding").alias("a")).withColumn("n", e.agg(F.max("vec_id") + 1).scalar())
     pairs = left.join(e.select(F.col("vec_id").alias("o"), F.col("embedding").alias("b")), F.expr("(vec_id + 7) % n = o"))
     return compare.dino_frames(pairs, ["vec_id"], "a", "b")
 
