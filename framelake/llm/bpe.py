@@ -174,42 +174,41 @@ def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix:
     size = max([*vocab.values(), *specials.values()]) + 1
     made = {u + v for u, v in merges}
     base = [i for s, i in vocab.items() if s not in made]
-    arcs = np.zeros((size, 256), np.uint8)
-    arcs[base, 0] = 1
-    state, users, live = np.zeros(size, np.int64), {0: len(base) + 1}, list(base)
-    known = np.zeros(size, np.int64)
-    known[: len(live)] = live
-    states, count = 1, len(live)
-    names = {i: s for s, i in vocab.items()}
+    # a bit per state and token; states, of which the gadget copies one, are whole rows of eight
+    arcs = np.zeros((32, size), np.uint8)
+    arcs[0, base] = 1
+    state, users, states = np.zeros(size, np.int64), {0: len(base) + 1}, 1
+    names, known = {i: s for s, i in vocab.items()}, set(base)
     for a, b in merges:
         u, v, w = vocab[a], vocab[b], vocab[a + b]
         s = int(state[u])
-        if not arcs[v, s >> 3] >> (s & 7) & 1:
+        if not arcs[s >> 3, v] >> (s & 7) & 1:
             continue
         target = int(state[v])
         if users[s] == 1 and u != v:
             q = s
         else:
             q, states = states, states + 1
-            if states > arcs.shape[1] * 8:
-                arcs = np.concatenate([arcs, np.zeros_like(arcs)], axis=1)
-            rows = known[:count]
-            arcs[rows, q >> 3] |= ((arcs[rows, s >> 3] >> (s & 7)) & 1) << (q & 7)
+            if states > len(arcs) * 8:
+                arcs = np.concatenate([arcs, np.zeros_like(arcs)])
+            arcs[q >> 3] |= ((arcs[s >> 3] >> (s & 7)) & 1) << (q & 7)
             users[s] -= 1
             users[q] = 1
             state[u] = q
-        arcs[v, q >> 3] &= ~np.uint8(1 << (q & 7))
-        if not arcs[w].any():
-            known[count] = w
-            count += 1
+        arcs[q >> 3, v] &= ~np.uint8(1 << (q & 7))
+        if w not in known:
+            known.add(w)
             state[w] = target
             users[target] += 1
-        arcs[w] |= arcs[u]
-    width = (states + 7) // 8
+        width = (states + 7) // 8
+        arcs[:width, w] |= arcs[:width, u]
+    by_token = np.ascontiguousarray(arcs[: (states + 7) // 8].T)
+    shared: dict[bytes, bytes] = {}
+    rows = [shared.setdefault(r, r) for r in (by_token[i].tobytes() for i in range(size))]
     labels = [names.get(i, "") for i in range(size)]
     for text, i in specials.items():
         labels[i] = text
-    return Automaton(labels, dict(vocab), state.tolist(), [arcs[i, :width].tobytes() for i in range(size)], states, suffix, pattern, dict(specials)).prepare()
+    return Automaton(labels, dict(vocab), state.tolist(), rows, states, suffix, pattern, dict(specials)).prepare()
 
 
 @lru_cache(maxsize=2)
