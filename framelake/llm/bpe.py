@@ -28,6 +28,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import work
+from .caches import claim
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: bytes that print
@@ -218,11 +221,16 @@ def packed(path: str) -> bytes:
 
 
 @lru_cache(maxsize=1)
-def unpacked(data: bytes) -> Automaton:
-    """Once per worker process."""
+def _unpacked(data: bytes) -> Automaton:
     return pickle.loads(data)
 
 
+def unpacked(data: bytes) -> Automaton:
+    """Once per worker process, as long as no other operator takes it over."""
+    claim("bpe", _unpacked.cache_clear)
+    return _unpacked(data)
+
+
 def load(path: str) -> Automaton:
     """Compiles a `tokenizers` JSON file of the kind: NFC, white space, lower case; split; byte level; word ends."""
     with open(path, encoding="utf-8") as f:
@@ -236,6 +244,7 @@ def load(path: str) -> Automaton:
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the ids of each whole text as an array; a null or empty text has none. No shuffle."""
+    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("array<int>")
@@ -248,6 +257,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the decoded text of an array of ids; null where it is null. No shuffle."""
+    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("string")
@@ -261,6 +271,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256: encoded and decoded again where the text is, so
     ids and decoded texts, several times the input, never leave the worker. Columns of these names are replaced."""
+    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")

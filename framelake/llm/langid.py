@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import work
+from .caches import claim
+
 SPACE, OTHER, BASE = 0, 1, 256
 CODE_POINTS = 0x110000
 
@@ -121,6 +124,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     if not langs:
         return Profiles([], [], np.zeros(1, np.int64), np.zeros((1, 0), np.int32), top)
     spark = labelled.sparkSession
+    work.small_batches(spark)
     share = spark.createDataFrame([(x, min(1.0, docs_per_lang / counts[x]) * 2.0**32) for x in langs], "langid__lang string, langid__below double")
     point = F.xxhash64(F.col(key).cast("string"), F.lit("langid")).bitwiseAND(F.lit((1 << 32) - 1))
     sample = rows.join(F.broadcast(share), F.col(lang) == F.col("langid__lang")).where(point <= F.col("langid__below"))
@@ -164,10 +168,12 @@ def held_out(key: str = "doc_id") -> Column:
 def predict(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """Adds lang_pred and score (0 to 1), replacing columns of these names. No shuffle; `und` and 0 for a
     text that is null or has no letter, and where nothing was learned."""
+    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(profiles)
 
     @F.arrow_udf("lang_pred string, score double")
     def both(texts: pa.Array) -> pa.Array:
+        claim("langid", lambda: None)
         model = shared.value
         made = [model.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["lang_pred", "score"])

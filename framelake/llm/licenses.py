@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import work
+
 #: Notices by which works declare a licence, and the texts of short licences.
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0",
@@ -190,6 +192,7 @@ def scan_documents(documents: DataFrame, text: str = "text", out: str = "license
     """Adds the licences found in each whole text, in order of the templates' names; null and empty texts
     have none. Rows are independent: no shuffle. A column of that name is replaced."""
     given = tuple(sorted((templates or TEMPLATES).items()))
+    work.small_batches(documents.sparkSession)
 
     @F.pandas_udf(FOUND)
     def find(texts: pd.Series) -> pd.Series:

@@ -90,6 +90,8 @@ def sequence(page: str | None) -> list[dict]:
 def sequences(pages: DataFrame, html: str = "html", out: str = "items") -> DataFrame:
     """Adds each page's sequence; rows are independent."""
 
+    work.small_batches(pages.sparkSession)
+
     @F.pandas_udf(SEQUENCE)
     def parse(page: pd.Series) -> pd.Series:
         return page.map(sequence, na_action=None)
@@ -164,6 +166,8 @@ def write_store(rows: DataFrame, path: str, digest: str = "digest", media: str =
 def store_texts(documents: DataFrame, path: str, text: str = "text", level: int = 6) -> None:
     """Stores the payload of each whole text; null texts are empty ones."""
 
+    work.small_batches(documents.sparkSession)
+
     @F.pandas_udf("digest string, media binary")
     def made(texts: pd.Series) -> pd.DataFrame:
         data = [payload(t) for t in texts]
@@ -180,6 +184,8 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     """
     kinds = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
+    work.small_batches(spark)
+
     @F.pandas_udf(kinds)
     def read(digest: pd.Series, media: pd.Series) -> pd.DataFrame:
         rows = []

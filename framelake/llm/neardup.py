@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import work
+from .caches import claim
 
 #: Multipliers of a 64-bit mixing step (those of the SplitMix64 generator).
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
@@ -52,6 +53,7 @@ class WordHashes(dict):
 
 @lru_cache(maxsize=1)
 def _hashes() -> WordHashes:
+    claim("neardup", _hashes.cache_clear)
     return WordHashes()
 
 
@@ -119,6 +121,7 @@ def sketches(documents: DataFrame, key: str, text: str, width: int, bands: int,
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), lists], ["doc", "k1", "k2", "n", "buckets"])
 
+    work.small_batches(documents.sparkSession)
     return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(sketch, "doc long, k1 long, k2 long, n long, buckets array<long>")
 
 
@@ -148,6 +151,7 @@ def shingle_sets(documents: DataFrame, key: str, text: str, width: int, batch_by
                 if docs:
                     yield batch(docs, sets)
 
+    work.small_batches(documents.sparkSession)
     return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(make, "doc long, n long, shingles array<long>")
 
 

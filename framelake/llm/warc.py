@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import work
+
 #: Fixed values of the two formats.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50, length 0
@@ -83,6 +85,8 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
     an archive as long as itself. An empty table writes no archive.
     """
 
+    work.small_batches(rows.sparkSession)
+
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         count, raw, seq, held, held_bytes, squeeze = 0, 0, 0, [], 0, None

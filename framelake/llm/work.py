@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from ..session import new_path
 
 
+#: Spark's own limit of an Arrow batch, and the one used in its place.
+DEFAULT_BATCH, SMALL_BATCH = 64 << 20, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of an Arrow batch from Spark's default; a limit that was set stays.
+
+    Texts are long: at the default, a task holds batches of 64 MB in the JVM, in its buffers and in the
+    worker at once.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).removesuffix("b") == str(DEFAULT_BATCH):
+        spark.conf.set(name, str(SMALL_BATCH))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Deletes a written folder through Hadoop's file system, once nothing reads it any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
