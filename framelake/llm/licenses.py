@@ -8,9 +8,11 @@ words that are matched.
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -102,6 +104,7 @@ class Template:
     name: str
     words: list[str]
     needed: frozenset[str]
+    least: int
 
 
 @lru_cache(maxsize=4)
@@ -113,13 +116,14 @@ def compiled(templates: tuple[tuple[str, str], ...], percent: int) -> list[Templ
     out = []
     for name, found in split.items():
         counts, chosen, held = Counter(found), set(), 0
-        may_miss = len(found) - -(-len(found) * percent // 100)
+        least = -(-len(found) * percent // 100)
+        may_miss = len(found) - least
         for w in sorted(counts, key=lambda w: (spread[w], -len(w), w)):
             if held > may_miss:
                 break
             chosen.add(w)
             held += counts[w]
-        out.append(Template(name, found, frozenset(chosen)))
+        out.append(Template(name, found, frozenset(chosen), least))
     return out
 
 
@@ -150,39 +154,96 @@ def trimmed(matched: list[tuple[int, int]], length: int) -> list[tuple[int, int]
     return max(best, run, key=len)
 
 
+def spans(text: list[str], t: Template, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """A window, and once and twice the template's length on both sides of each needed word in it, so that
+    notices that stand more than once, whose words are then not unique, are found one by one. Left out
+    are spans whose words, each counted as often as the template has it, are too few."""
+    counts, n = Counter(t.words), len(t.words)
+    if sum(min(m, counts[w]) for w, m in Counter(w for w in text[a:b] if w in counts).items()) < t.least:
+        return
+    yield a, b
+    for reach in (n, 2 * n):
+        if b - a <= 2 * n + 1:
+            break
+        held: Counter[str] = Counter()
+        x = y = a
+        usable = 0
+        for i in range(a, b):
+            if text[i] not in t.needed:
+                continue
+            while y < min(b, i + reach + 1):
+                if (w := text[y]) in counts:
+                    usable += held[w] < counts[w]
+                    held[w] += 1
+                y += 1
+            while x < i - reach:
+                if (w := text[x]) in counts:
+                    held[w] -= 1
+                    usable -= held[w] < counts[w]
+                x += 1
+            if usable >= t.least:
+                yield x, y
+
+
+def stretch(text: list[str], places: list[int], t: Template) -> list[tuple[int, int]]:
+    """The alignment in these places of the text, drawn together: where one side of a gap holds as many
+    matches as both, the other side's go."""
+
+    def aligned(among: list[int]) -> list[tuple[int, int]]:
+        return trimmed([(among[i], j) for i, j in align([text[i] for i in among], t.words)], len(t.words))
+
+    got = aligned(places)
+    closer = len(got) >= t.least
+    while closer:
+        closer = False
+        gaps = sorted(((p, q) for (p, _), (q, _) in zip(got, got[1:], strict=False) if q - p > 1), key=lambda g: g[0] - g[1])
+        for p, q in gaps:
+            for side in ([i for i in places if i > p], [i for i in places if i < q]):
+                if len(other := aligned(side)) >= len(got) and other[-1][0] - other[0][0] < got[-1][0] - got[0][0]:
+                    got, places, closer = other, side, True
+                    break
+            if closer:
+                break
+    return got if len(got) >= t.least else []
+
+
 def scan(text: str | None, templates: list[Template], percent: int) -> list[dict]:
-    """The templates that a text covers to `percent` hundredths or more, with the matched stretch of words.
-    Where two claim overlapping stretches, the one with more matched words stays.
+    """The templates that a text covers to `percent` hundredths or more, each with its best stretch of words.
 
-    A window wider than twice the template is halved around each needed word in turn, so that a notice
-    that stands more than once, whose words are then not unique, is still found.
+    Every sufficient stretch counts, however many a template has. They claim their matched words in turn:
+    the one with more matched words first, or with as many of a shorter notice, so that another is but a
+    part of it or goes beyond it. A stretch that lacks words thus claimed is aligned anew to the words that
+    are left around it. Different templates that match equally well share their words.
     """
     found = words(text)
     have = set(found)
-    out = []
-    for t in templates:
+    waiting: list[tuple[tuple[int, float], int, int, int, list[int], list[tuple[int, int]]]] = []
+    claimed: dict[int, tuple[tuple[int, float], int]] = {}
+    best: dict[int, dict] = {}
+
+    def offer(k: int, places: list[int]) -> None:
+        if got := stretch(found, places, templates[k]):
+            n, first, last = len(templates[k].words), got[0][0], got[-1][0]
+            around = [i for i in places if first - n <= i <= last + n]
+            heapq.heappush(waiting, ((-len(got), -len(got) / n), last - first, first, k, around, got))
+
+    for k, t in enumerate(templates):
         if have.isdisjoint(t.needed):
             continue
-        best: list[tuple[int, int]] = []
         for a, b in windows(found, t):
-            spans = [(a, b)]
-            if b - a > 3 * len(t.words) + 1:
-                spans += [(max(a, i - len(t.words)), min(b, i + len(t.words) + 1)) for i in range(a, b) if found[i] in t.needed]
-            for x, y in spans:
-                got = trimmed(align(found[x:y], t.words), len(t.words))
-                if len(got) > len(best):
-                    best = [(p + x, q) for p, q in got]
-                if len(best) == len(t.words):
-                    break
-        if 100 * len(best) >= percent * len(t.words):
-            out.append({"license": t.name, "coverage": len(best) / len(t.words), "matched": len(best), "first_word": best[0][0], "last_word": best[-1][0]})
-    return [x for x in out if not any(_within(x, y) for y in out)]
-
-
-def _within(x: dict, y: dict) -> bool:
-    """Whether another template matches more words of the same stretch, or as many of a shorter notice, so
-    that x is but a part of it or goes beyond it."""
-    return (x["matched"], x["coverage"]) < (y["matched"], y["coverage"]) and x["first_word"] <= y["last_word"] and y["first_word"] <= x["last_word"]
+            for x, y in spans(found, t, a, b):
+                offer(k, list(range(x, y)))
+    while waiting:
+        score, _, first, k, places, got = heapq.heappop(waiting)
+        gone = {i for i in places if i in claimed and (claimed[i][0] < score or claimed[i][1] == k)}
+        if any(i in gone for i, _ in got):
+            offer(k, [i for i in places if i not in gone])
+            continue
+        for i, _ in got:
+            claimed.setdefault(i, (score, k))
+        if k not in best:
+            best[k] = {"license": templates[k].name, "coverage": -score[1], "matched": len(got), "first_word": first, "last_word": got[-1][0]}
+    return [best[k] for k in sorted(best)]
 
 
 FOUND = "array<struct<license:string,coverage:double,matched:int,first_word:int,last_word:int>>"

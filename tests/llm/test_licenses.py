@@ -47,6 +47,20 @@ def test_repeated_notice_and_small_edits():
     assert [x["license"] for x in got] == ["mit"] and 0.8 <= got[0]["coverage"] < 1 and got[0]["first_word"] >= 100
 
 
+def test_each_stretch_counts():
+    by, nc, mit = "Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0", "Released under the MIT License"
+    for far in (1, 4, 9, 40, 400):
+        gap = " some words between " * far
+        assert names(f"a b {nc}\n{gap}\n{by} c d") == ["cc-by-4.0", "cc-by-nc-4.0"] == names(f"a b {by}\n{gap}\n{nc} c d"), far
+        assert names(f"{nc}{gap}{nc}") == ["cc-by-nc-4.0"]
+        notice, line = li.TEMPLATES["apache-2.0-notice"], li.TEMPLATES["apache-2.0-line"]
+        assert names(f"{notice}{gap}{notice}") == ["apache-2.0-notice"]
+        assert names(f"{notice}{gap}{line}") == ["apache-2.0-line", "apache-2.0-notice"] == names(f"{line}{gap}{notice}")
+    assert names(f"a {nc}. {by}. b") == ["cc-by-4.0", "cc-by-nc-4.0"] == names(f"a {by}. {nc}. b")
+    got = li.scan(" ".join([nc, mit, by, mit, nc]), READY, 80)
+    assert [(x["license"], x["first_word"], x["last_word"], x["coverage"]) for x in got] == [("cc-by-4.0", 11, 15, 1.0), ("cc-by-nc-4.0", 0, 5, 1.0), ("mit-line", 6, 10, 1.0)]
+
+
 def test_prefilter_loses_nothing():
     """A text with the coverage has a needed word: those unmatched can't be all the needed ones."""
     for t in READY:
