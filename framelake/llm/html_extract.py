@@ -27,9 +27,9 @@ STOP_WORDS = {
 ARTICLE_WORDS = frozenset("article content story entry post".split())
 #: Elements and the words of class, id and role that mark what is not the article.
 BOILER_TAGS = frozenset("nav aside footer form button select dialog menu".split())
-DROPPED = "script|style|noscript|template|textarea|svg|iframe|object|head|title|math|canvas|audio|video"
+DROPPED = "script|style|noscript|template|textarea|svg|iframe|object|title|math|canvas|audio|video"
 BLOCK_TAGS = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article main section div nav aside header footer form ul ol dl table figure blockquote body html details dialog menu select button span fieldset p td li tr".split())
 HEADER_WORDS = frozenset("header topbar".split())
@@ -39,10 +39,14 @@ BOILER_WORDS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{DROPPED})\b(?=[\s/>]).*?(?:</(?:{DROPPED})\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<drop>{DROPPED})\b(?=[\s/>])|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)>",
     re.I | re.S,
 )
-_DROP = re.compile(rf"<({DROPPED})\b", re.I)
+_PAIRS = re.compile(rf"<(?P<end>/?)(?P<tag>{DROPPED})\b(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?P<close>>)", re.I)
+_START = re.compile(r"<[a-z]+(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)", re.I)
+#: Tags that cannot stand in a drawing or formula, unless in an element of it that holds HTML.
+_BREAKS = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS))}|b|big|br|button|code|em|embed|i|img|label|meta|nobr|ruby|s|small|span|strong|strike|sub|sup|tt|u|var)\b(?=[\s/>])", re.I)
+_HOLDS_HTML = re.compile(r"<(?:foreignobject|desc|title|annotation-xml|mtext|m[inos])\b", re.I)
 _MARK = re.compile(r"""\b(class|id|role|aria-label|aria-hidden|hidden|style)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -69,10 +73,57 @@ class Block:
     label: str = ""
 
 
-def _dropped_end(page: str, start: int, name: str) -> int:
-    """Where a script or the like ends: its own end tag, else the end of the page."""
-    found = re.compile(rf"</{name}\s*>", re.I).search(page, start)
-    return found.end() if found else len(page)
+class _Dropped:
+    """Where the dropped elements of a page end."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.ends: dict[int, int] | None = None
+        self.breaks = (0, -1)
+
+    def _paired(self, start: int) -> int | None:
+        """The end of the end tag that belongs to a start tag: that of the last one of its name still open."""
+        if self.ends is None:
+            self.ends = {}
+            waiting: dict[str, list[int]] = {}
+            for m in _PAIRS.finditer(self.page):
+                tag = m["tag"].lower()
+                if not m["end"]:
+                    if tag not in ("svg", "math") or self.page[m.end() - 2] != "/":
+                        waiting.setdefault(tag, []).append(m.start())
+                elif waiting.get(tag):
+                    self.ends[waiting[tag].pop()] = m.end()
+        return self.ends.get(start)
+
+    def _break(self, start: int) -> int:
+        """The next tag that cannot stand in a drawing, or the page's length."""
+        asked, found = self.breaks
+        if not asked <= start <= found:
+            m = _BREAKS.search(self.page, start)
+            self.breaks = start, m.start() if m else len(self.page)
+        return self.breaks[1]
+
+    def end(self, start: int, name: str) -> int:
+        """Scripts and styles end with their own end tag or the page. Of others without one only the start
+        tag is dropped, with a title's or text field's text up to the next tag and a drawing up to the
+        first tag that cannot stand in it."""
+        page, name = self.page, name.lower()
+        if name in ("script", "style"):
+            found = re.compile(rf"</{name}(?:[\s/][^>]*)?>", re.I).search(page, start)
+            return found.end() if found else len(page)
+        opened = _START.match(page, start)
+        after = opened.end() if opened else len(page)
+        if name not in ("svg", "math"):
+            paired = self._paired(start)
+            if paired is None and name in ("title", "textarea"):
+                after = at if (at := page.find("<", after)) >= 0 else len(page)
+            return paired or after
+        if page[after - 2 : after] == "/>":
+            return after
+        paired, breaks = self._paired(start), self._break(after)
+        if paired and (paired <= breaks or _HOLDS_HTML.search(page, after, breaks)):
+            return paired
+        return breaks if breaks < len(page) else after
 
 
 def _marks(tag: str, attrs: str, in_article: bool) -> int:
@@ -112,7 +163,7 @@ def blocks(page: str) -> list[Block]:
     boiler = article = 0
     pieces: list[str] = []
     anchors, links, heading, breaks = 0, 0, False, 0
-    at, end = 0, len(page)
+    at, end, dropped = 0, len(page), _Dropped(page)
 
     def close() -> None:
         nonlocal pieces, links, heading, breaks
@@ -140,8 +191,8 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         name = m["tag"] or m["tag2"]
         if name is None:
-            if d := _DROP.match(page, m.start()):
-                at = _dropped_end(page, m.start(), d[1])
+            if m["drop"]:
+                at = dropped.end(m.start(), m["drop"])
             continue
         tag, closing, attrs = name.lower(), bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or ""
         if tag == "br":

@@ -37,6 +37,40 @@ def test_pages(body, want):
     assert h.main_text(page(body)) == want
 
 
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<!DOCTYPE html><html><head><title>No</title><meta charset=utf-8><link rel=x><style>p{}</style><script>no</script><body>",
+        "<!DOCTYPE html><html><head><title>No</title>",
+        "<head><title>No<body>",
+        "<svg viewBox='0 0 1 1' />",
+        "<math/>",
+        "<div><svg><path d='M0'><text>No</text></div>",
+        "<svg><svg><path/></svg><p></p>",
+        "<div><iframe src=x></div>",
+        "<iframe src=x><div><iframe src=y>No</iframe></div>",
+        "<object data=x>",
+        "<canvas>",
+        "<video src=x><source src=y>",
+        "<audio src=x />",
+        "<template><noscript>",
+        "<div><textarea>No</div>",
+        "<svg><title>No</title><foreignObject><div>No</div></foreignObject><text>No</text></svg>",
+        "<noscript><iframe src=x>No</iframe>No</noscript>",
+        "<object><object>No</object>No</object>",
+    ],
+)
+def test_dropped_elements_end(start):
+    assert h.main_text(f"{start}<article><p>{PROSE}</p><p>a <svg><path/><text>No</text></svg>b</p><svg/><p>{PROSE}</p></article>") == f"{PROSE}\na b\n{PROSE}"
+
+
+def test_only_scripts_and_styles_run_to_the_end():
+    for name in ("script", "style"):
+        assert h.main_text(f"<article><p>{PROSE}</p><{name}>var a;<p>{PROSE}</p></article>") == PROSE
+    for unclosed in ("<iframe>", "<svg>", "<title>", "<object>"):
+        assert h.main_text(f"<head>{unclosed * 20000}<article><p>{PROSE}</p></article>") == PROSE
+
+
 def test_density_and_links():
     assert h.stop_density("the of and zzz") == 0.75 and h.stop_density("") == 0
     links = f"<article><p>{PROSE}</p><ul><li><a href=1>first other story</a></li></ul></article>"
