@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -71,6 +72,7 @@ class Block:
     article: bool
     heading: bool
     label: str = ""
+    region: int = 0  # outermost element marked as the article, counted from 1
 
 
 class _Dropped:
@@ -160,7 +162,7 @@ def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order; references are decoded and white space is one space."""
     out: list[Block] = []
     stack: list[tuple[str, int]] = []
-    boiler = article = 0
+    boiler = article = regions = 0
     pieces: list[str] = []
     anchors, links, heading, breaks = 0, 0, False, 0
     at, end, dropped = 0, len(page), _Dropped(page)
@@ -170,7 +172,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, links, boiler > 0, article > 0, heading))
+                out.append(Block(text, links, boiler > 0, article > 0, heading, region=regions if article else 0))
         pieces, links, breaks = [], 0, 0
 
     def add(raw: str) -> None:
@@ -228,6 +230,7 @@ def blocks(page: str) -> list[Block]:
                 close()
             stack.append((tag, kind))
             boiler += kind == 1
+            regions += kind == 2 and not article
             article += kind == 2
     close()
     return out
@@ -241,9 +244,31 @@ def stop_density(text: str) -> float:
 _STOP = [frozenset(v) for v in STOP_WORDS.values()]
 
 
+def believed(found: list[Block], rules: Rules) -> bool:
+    """Whether blocks outside the elements marked as the article are shut out: only where those hold half
+    or more of the page's prose, that is of blocks with many stop words and few links. Otherwise the marks
+    of elements with little prose, such as teasers and by-lines, are taken off."""
+    if not any(b.article and not b.boiler for b in found):
+        return False
+    if all(b.article or b.boiler for b in found):
+        return True
+    prose: Counter[int] = Counter()
+    for b in found:
+        n = len(b.text)
+        if not b.boiler and n >= rules.short and b.links <= n * rules.max_links and stop_density(b.text) >= rules.stop_high:
+            prose[b.region] += n
+    total = prose.total()
+    told = {b.region for b in found if b.article and (prose[b.region] >= rules.long or 2 * prose[b.region] >= total)}
+    if 2 * sum(prose[r] for r in told) >= total:
+        return True
+    for b in found:
+        b.article = b.region in told
+    return False
+
+
 def classify(found: list[Block], rules: Rules) -> None:
     """Labels every block good or bad."""
-    articles = any(b.article and not b.boiler for b in found)
+    articles = believed(found, rules)
     for b in found:
         n = len(b.text)
         if b.boiler or articles and not b.article:

@@ -71,6 +71,21 @@ def test_only_scripts_and_styles_run_to_the_end():
         assert h.main_text(f"<head>{unclosed * 20000}<article><p>{PROSE}</p></article>") == PROSE
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        (f"<div class='post-meta'>By X</div><div class='body'><p>{PROSE} {PROSE}</p><p>{PROSE}</p></div>", f"By X\n{PROSE} {PROSE}\n{PROSE}"),
+        (f"<div><h1>T</h1><p>{PROSE} {PROSE}</p><p>Short.</p><p>{PROSE} {PROSE}</p></div><article><a href=x>Another story</a></article>", f"T\n{PROSE} {PROSE}\nShort.\n{PROSE} {PROSE}"),
+        (f"<div><p>{PROSE} {PROSE}</p><p>{PROSE}</p></div><div>Tags: a b</div>" + f"<article><h3><a href=x>Another story</a></h3><p>{PROSE[:75]}</p></article>" * 9 + "<footer>us</footer>", f"{PROSE} {PROSE}\n{PROSE}"),
+        (f"<article><p>{PROSE} {PROSE}</p><ul><li>{'word ' * 20}</ul></article><div><p>{PROSE} {PROSE} {PROSE}</p></div>", f"{PROSE} {PROSE}\n{('word ' * 20).strip()}\n{PROSE} {PROSE} {PROSE}"),
+        (f"<article><p>{PROSE} {PROSE}</p></article><div><p>{PROSE}</p></div>", f"{PROSE} {PROSE}"),
+        ("<article><p>Short.</p></article><div>Tags: a b</div>", "Short."),
+    ],
+)
+def test_marks_shut_out_only_where_the_prose_is(body, want):
+    assert h.main_text(page(body)) == want
+
+
 def test_density_and_links():
     assert h.stop_density("the of and zzz") == 0.75 and h.stop_density("") == 0
     links = f"<article><p>{PROSE}</p><ul><li><a href=1>first other story</a></li></ul></article>"
