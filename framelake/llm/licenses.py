@@ -22,29 +22,97 @@ from pyspark.sql import functions as F
 
 from . import work
 
-#: Notices by which works declare a licence, and the texts of short licences.
+#: Notices by which works declare a licence, and the texts of short licences, whole and up to
+#: their disclaimers (-opening), with the licences that differ from them by a few words.
 TEMPLATES = {
+    "0bsd": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
-    "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-2-clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "bsd-2-clause-opening": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-3-clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "bsd-3-clause-opening": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-line": "Released under the BSD License",
+    "cc-by-3.0": "Licensed under CC BY 3.0",
     "cc-by-4.0": "Licensed under CC BY 4.0",
+    "cc-by-nc-3.0": "Licensed under CC BY-NC 3.0",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+    "cc-by-nc-nd-3.0": "Licensed under CC BY-NC-ND 3.0",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "cc-by-nc-sa-3.0": "Licensed under CC BY-NC-SA 3.0",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-nd-3.0": "Licensed under CC BY-ND 3.0",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0",
+    "cc-by-sa-3.0": "Licensed under CC BY-SA 3.0",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
     "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2",
+    "gpl-2.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "gpl-2.0-only-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
     "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3",
     "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "isc-opening": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "lgpl-2.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "lgpl-2.1-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "lgpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "mit-0": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     "mit-line": "Released under the MIT License",
-    "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
+    "mit-opening": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
+#: Words that name a licence and its version. They must be matched side by side; | parts spellings.
+NAMED = {
+    "agpl-3.0-line": ("gnu affero general public license", "license version 3|license 3"),
+    "agpl-3.0-notice": ("gnu affero general public license", "version 3"),
+    "apache-2.0-line": ("apache license", "2.0"),
+    "apache-2.0-notice": ("apache license", "2.0"),
+    "bsd-3-clause": ("neither the name of",),
+    "bsd-3-clause-opening": ("neither the name of",),
+    "bsd-line": ("bsd",),
+    "cc-by-3.0": ("cc by 3.0",),
+    "cc-by-4.0": ("cc by 4.0",),
+    "cc-by-nc-3.0": ("cc by nc 3.0",),
+    "cc-by-nc-4.0": ("cc by nc 4.0",),
+    "cc-by-nc-nd-3.0": ("cc by nc nd 3.0",),
+    "cc-by-nc-nd-4.0": ("cc by nc nd 4.0",),
+    "cc-by-nc-sa-3.0": ("cc by nc sa 3.0",),
+    "cc-by-nc-sa-4.0": ("cc by nc sa 4.0",),
+    "cc-by-nd-3.0": ("cc by nd 3.0",),
+    "cc-by-nd-4.0": ("cc by nd 4.0",),
+    "cc-by-sa-3.0": ("cc by sa 3.0",),
+    "cc-by-sa-4.0": ("cc by sa 4.0",),
+    "gpl-2.0-line": ("gnu general public license", "license version 2|license 2"),
+    "gpl-2.0-notice": ("gnu general public license", "version 2"),
+    "gpl-2.0-only-notice": ("gnu general public license version 2",),
+    "gpl-3.0-line": ("gnu general public license", "license version 3|license 3"),
+    "gpl-3.0-notice": ("gnu general public license", "version 3"),
+    "isc": ("provided that the above copyright notice",),
+    "isc-opening": ("provided that the above copyright notice",),
+    "lgpl-2.0-notice": ("gnu library general public license", "version 2"),
+    "lgpl-2.1-line": ("gnu lesser general public license", "license version 2.1|license 2.1"),
+    "lgpl-2.1-notice": ("gnu lesser general public license", "version 2.1"),
+    "lgpl-3.0-line": ("gnu lesser general public license", "license version 3|license 3"),
+    "lgpl-3.0-notice": ("gnu lesser general public license", "version 3"),
+    "mit": ("this permission notice",),
+    "mit-line": ("mit",),
+    "mit-opening": ("this permission notice",),
+    "mpl-2.0": ("mozilla public license", "2.0"),
+}
 
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
+_VERSION = re.compile(r"\bv(?=\d)|(?<=\d)(?:\.0)+(?!\w|\.\w)")
 
 
 def words(text: str | None) -> list[str]:
-    """Lower-case words of letters and digits; a full stop inside one, as in 2.0, belongs to it."""
-    return _WORD.findall((text or "").lower())
+    """Lower-case words of letters and digits; a full stop inside one, as in 2.1, belongs to it. Versions
+    are spelled alike: v3 and 3.0 are 3."""
+    return _WORD.findall(_VERSION.sub("", (text or "").lower()))
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -105,6 +173,12 @@ class Template:
     words: list[str]
     needed: frozenset[str]
     least: int
+    named: tuple[list[list[str]], ...] = ()
+
+    def is_named(self, text: list[str], got: list[tuple[int, int]]) -> bool:
+        """Whether the matches hold the words that name the licence, side by side in the text."""
+        held = {i for i, _ in got}
+        return all(any(all(i + j in held and text[i + j] == w for j, w in enumerate(way)) for way in ways for i in held) for ways in self.named)
 
 
 @lru_cache(maxsize=4)
@@ -123,10 +197,14 @@ def compiled(templates: tuple[tuple[str, str], ...], percent: int) -> list[Templ
                 break
             chosen.add(w)
             held += counts[w]
-        out.append(Template(name, found, frozenset(chosen), least))
+        out.append(Template(name, found, frozenset(chosen), least, _named(name) if (name, TEMPLATES.get(name)) in templates else ()))
     return out
 
 
+def _named(name: str) -> tuple[list[list[str]], ...]:
+    return tuple([words(way) for way in phrase.split("|")] for phrase in NAMED.get(name, ()))
+
+
 def windows(text: list[str], template: Template) -> list[tuple[int, int]]:
     """Stretches of the text in which the template may stand: its length on both sides of each needed
     word, joined where they overlap. Every sufficient alignment that is no longer than twice the
@@ -213,7 +291,7 @@ def scan(text: str | None, templates: list[Template], percent: int) -> list[dict
     Every sufficient stretch counts, however many a template has. They claim their matched words in turn:
     the one with more matched words first, or with as many of a shorter notice, so that another is but a
     part of it or goes beyond it. A stretch that lacks words thus claimed is aligned anew to the words that
-    are left around it. Different templates that match equally well share their words.
+    are left around it; one that does not name its licence counts for nothing. Different templates that match equally well share their words.
     """
     found = words(text)
     have = set(found)
@@ -224,11 +302,11 @@ def scan(text: str | None, templates: list[Template], percent: int) -> list[dict
     def offer(k: int, places: list[int]) -> None:
         if got := stretch(found, places, templates[k]):
             n, first, last = len(templates[k].words), got[0][0], got[-1][0]
-            around = [i for i in places if first - n <= i <= last + n]
+            around = [i for i in places if first - 2 * n <= i <= last + 2 * n]
             heapq.heappush(waiting, ((-len(got), -len(got) / n), last - first, first, k, around, got))
 
     for k, t in enumerate(templates):
-        if have.isdisjoint(t.needed):
+        if have.isdisjoint(t.needed) or not all(any(have.issuperset(way) for way in ways) for ways in t.named):
             continue
         for a, b in windows(found, t):
             for x, y in spans(found, t, a, b):
@@ -239,8 +317,11 @@ def scan(text: str | None, templates: list[Template], percent: int) -> list[dict
         if any(i in gone for i, _ in got):
             offer(k, [i for i in places if i not in gone])
             continue
+        if not templates[k].is_named(found, got):
+            continue
         for i, _ in got:
             claimed.setdefault(i, (score, k))
+        offer(k, [i for i in places if i not in gone and not first <= i <= got[-1][0]])
         if k not in best:
             best[k] = {"license": templates[k].name, "coverage": -score[1], "matched": len(got), "first_word": first, "last_word": got[-1][0]}
     return [best[k] for k in sorted(best)]

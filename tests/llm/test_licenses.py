@@ -61,6 +61,21 @@ def test_each_stretch_counts():
     assert [(x["license"], x["first_word"], x["last_word"], x["coverage"]) for x in got] == [("cc-by-4.0", 11, 15, 1.0), ("cc-by-nc-4.0", 0, 5, 1.0), ("mit-line", 6, 10, 1.0)]
 
 
+def test_neighbours_are_told_apart():
+    for name, text in li.TEMPLATES.items():
+        assert names(f"some words {text} some more") == [name], name
+        assert names(f"{text}\n\n{text}") == [name], name
+    assert names("Released under the BSD License") == ["bsd-line"] and names("Released under the Foo License") == []
+    assert names("Licensed under CC BY 2.5") == [] and names("Licensed under CC BY-ND 4.0") == ["cc-by-nd-4.0"]
+    line = "This work is licensed under the GNU General Public License"
+    assert names(f"{line} v3") == names(f"{line}, version 3.0") == ["gpl-3.0-line"] and names(f"{line}, version 7") == []
+    assert names(li.TEMPLATES["gpl-3.0-notice"].replace("GNU General", "GNU Other General")) == []
+    assert names(li.TEMPLATES["bsd-3-clause"].replace("the copyright holder nor", "Some University nor")) == ["bsd-3-clause"]
+    assert names("Licensed under the Apache License 2.0") == ["apache-2.0-line"]
+    own = li.compiled((("mit-line", "These are my own words"),), 80)
+    assert [x["license"] for x in li.scan("these are my own words", own, 80)] == ["mit-line"]
+
+
 def test_prefilter_loses_nothing():
     """A text with the coverage has a needed word: those unmatched can't be all the needed ones."""
     for t in READY:
