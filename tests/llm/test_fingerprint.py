@@ -43,6 +43,12 @@ def test_documents_by_hand(spark):
     assert abs(np.mean(near)) < 0.02 and np.std(near) < 0.09 and abs(np.mean(far)) < 0.02
 
 
+def test_fingerprints_have_64_samples(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
+    assert all(len(r["fingerprint"]) == len(r["edited_fingerprint"]) == 64 * 8 for r in fp.edited_fingerprints(df).collect())
+    assert all(len(r["signature"]) == 64 for r in fp.signatures(df, ["doc_id"]).collect())
+
+
 def test_edges(spark):
     rows = [(3, "a b c d e f g h"), (1, None), (2, ""), (4, "a b c d e f g h"), (4, "a b c d e f g h"), (4, "other"), (None, "x"), (9, "é\té é\n" * 7), (10, "w" * 5000)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, fingerprint string")
