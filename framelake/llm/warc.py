@@ -24,6 +24,8 @@ from . import work
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50, length 0
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records or pieces of them that a dictionary is learned from, at least.
+LEAST_SAMPLES = 8
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 READ_SCHEMA = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, archive string"
@@ -66,9 +68,23 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
+def pieces(held: list[bytes], sample_bytes: int, dictionary_bytes: int) -> list[bytes]:
+    """What a dictionary is learned from: an even share of `sample_bytes` from each record, whole records where they
+    fit. Fewer than LEAST_SAMPLES are cut, but not if all are too short to be worth a dictionary."""
+    if len(held) >= LEAST_SAMPLES and sum(map(len, held)) < 2 * sample_bytes:
+        return held
+    share = max(1, sample_bytes // max(1, len(held)))
+    used = [one[:share] for one in held]
+    size = sum(map(len, used))
+    if len(held) >= LEAST_SAMPLES or size < LEAST_SAMPLES * dictionary_bytes:
+        return used
+    step = size // (2 * LEAST_SAMPLES)
+    return [one[i : i + step] for one in used for i in range(0, len(one), step)]
+
+
 def train(samples: list[bytes], dictionary_bytes: int) -> zstandard.ZstdCompressionDict | None:
-    """None if there are too few records to learn from; such an archive has no dictionary frame."""
-    if len(samples) < 8:
+    """None if there are too few samples to learn from; such an archive has no dictionary frame."""
+    if len(samples) < LEAST_SAMPLES:
         return None
     try:
         return zstandard.train_dictionary(dictionary_bytes, samples, k=256, d=8)
@@ -80,8 +96,8 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
     """Writes with_revisits() rows to archives under `path`.
 
     A task begins a new archive once `archive_bytes` of records went into one, so an archive, and what
-    reads it, stays bounded. The dictionary is trained on the records that open the archive, up to
-    `sample_bytes` of them; all records are compressed with it. A record longer than the bound has
+    reads it, stays bounded. The dictionary is trained on the records that open the archive, `sample_bytes`
+    of them and LEAST_SAMPLES records, of long ones on a part (see pieces()); all records are compressed with it. A record longer than the bound has
     an archive as long as itself. An empty table writes no archive.
     """
 
@@ -94,7 +110,7 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
 
         def begin() -> None:
             nonlocal squeeze, seq, held, held_bytes
-            learned = train(held, dictionary_bytes)
+            learned = train(pieces(held, sample_bytes, dictionary_bytes), dictionary_bytes)
             squeeze = zstandard.ZstdCompressor(level=level, dict_data=learned, write_checksum=True)
             if learned:
                 data = learned.as_bytes()
@@ -116,7 +132,7 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
                 if squeeze is None:
                     held.append(one)
                     held_bytes += len(one)
-                    if held_bytes >= sample_bytes:
+                    if held_bytes >= sample_bytes and len(held) >= LEAST_SAMPLES:
                         begin()
                 else:
                     seq += 1

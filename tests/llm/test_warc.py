@@ -57,6 +57,18 @@ def test_dictionary_and_frames(spark, tmp_path):
         assert d.decompress(data[at:]).startswith(b"WARC/1.1") and d.unused_data.startswith(b"P*M\x18")
 
 
+@pytest.mark.parametrize("longs", [[0], [0, 1, 2, 3, 4], list(range(30)), "alone"])
+def test_long_records_have_a_dictionary(spark, tmp_path, longs):
+    text = lambda i, n: "".join(f"<p>page {j * 7919 + i} of the same site with the same words</p>" for j in range(n))
+    count = 3 if longs == "alone" else 40
+    rows = [(i, f"http://h/{i}", text(i, 2000 if longs == "alone" or i in longs else 3)) for i in range(count)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = round_trip(spark, df, tmp_path, sample_bytes=50_000, dictionary_bytes=4096)
+    assert {r["page_id"]: r["payload"].decode() for r in got.collect()} == {r[0]: r[2] for r in rows}
+    files = list(Path(tmp_path, "archives").rglob("part-*"))
+    assert files and all(f.read_bytes()[:4] == warc.DICTIONARY_MAGIC for f in files)
+
+
 def test_damage_is_noticed(spark, tmp_path):
     one = warc.record(1, "u", b"x" * 10, "0" * 64, None, "2026-01-01T00:00:00Z")
     folder = tmp_path / "bad"
