@@ -2,7 +2,8 @@
 
 A profile is a language's most frequent 1- to 3-grams in order. A document's own profile is compared to
 each by out-of-place distance: the sum of rank differences, with the profile's length for an n-gram that
-the language's lacks. Letters are lower-cased; a run of anything else is one space.
+the language's lacks. Letters are lower-cased; a run of anything else is one space. All letters of the
+texts learned from are told apart; letters of none of them, which no profile holds, are one symbol.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ CODE_POINTS = 0x110000
 def symbol_table(alphabet: list[str]) -> np.ndarray:
     """Symbol of each code point: its place in the alphabet, OTHER for other letters, SPACE for non-letters."""
     place = {c: i + 2 for i, c in enumerate(alphabet)}
-    table = np.zeros(CODE_POINTS, np.uint8)
+    table = np.zeros(CODE_POINTS, np.int32)
     for i in range(CODE_POINTS):
         c = chr(i)
         if c.isalpha():
@@ -35,22 +36,28 @@ def symbol_table(alphabet: list[str]) -> np.ndarray:
     return table
 
 
-def grams(text: str, table: np.ndarray) -> np.ndarray:
+def base_for(alphabet: list[str]) -> int:
+    """Keys are numbers to this base: each letter of the alphabet is a digit of its own, however many there are."""
+    return max(BASE, len(alphabet) + 2)
+
+
+def grams(text: str, table: np.ndarray, base: int = BASE) -> np.ndarray:
     """Keys of all n-grams of a text; none if it has no letter. Keys of different n differ."""
+    kind = np.int32 if base == BASE else np.int64
     code = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
     if not code.any():
-        return np.zeros(0, np.int32)
+        return np.zeros(0, kind)
     keep = np.ones(len(code), bool)
     keep[1:] = (code[1:] != SPACE) | (code[:-1] != SPACE)
-    code = code[keep].astype(np.int32)
+    code = code[keep].astype(kind)
     if code[0] != SPACE:
-        code = np.concatenate([np.zeros(1, np.int32), code])
+        code = np.concatenate([np.zeros(1, kind), code])
     if code[-1] != SPACE:
-        code = np.concatenate([code, np.zeros(1, np.int32)])
-    two = code[:-1] * BASE + code[1:]
-    three = two[:-1] * BASE + code[2:]
+        code = np.concatenate([code, np.zeros(1, kind)])
+    two = code[:-1] * base + code[1:]
+    three = two[:-1] * base + code[2:]
     middle = code[1:-1] != SPACE
-    return np.concatenate([code[code != SPACE], two + BASE**3, three[middle] + 2 * BASE**3])
+    return np.concatenate([code[code != SPACE], two + base**3, three[middle] + 2 * base**3])
 
 
 def string_grams(text: str) -> Counter[str]:
@@ -69,11 +76,10 @@ def string_grams(text: str) -> Counter[str]:
 
 def ranked(keys: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
     """The most frequent keys in order; the smaller key first among equals."""
-    order = counts.astype(np.int64) * (1 << 32) - keys
-    if len(order) > top:
-        order = np.partition(order, len(order) - top)[-top:]
-    order = np.sort(order)[::-1]
-    return -(order - ((order + (1 << 32) - 1) >> 32) * (1 << 32))
+    if len(counts) > top:
+        some = counts >= np.partition(counts, len(counts) - top)[-top]
+        keys, counts = keys[some], counts[some]
+    return keys[np.lexsort((keys, -counts))[:top]].astype(np.int64)
 
 
 @dataclass
@@ -96,7 +102,7 @@ class Profiles:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how far the distance stays below that of a document that shares nothing."""
-        found = grams(text, self.table()) if text else np.zeros(0, np.int32)
+        found = grams(text, self.table(), base_for(self.alphabet)) if text else np.zeros(0, np.int32)
         if not len(found) or not self.langs:
             return "und", 0.0
         keys, counts = np.unique(found, return_counts=True)
@@ -141,14 +147,15 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     for _, gram, n in found:
         if len(gram) == 1:
             letters[gram] += n
-    alphabet = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: BASE - 2]]
+    alphabet = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+    base = base_for(alphabet)
     place = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": SPACE}
     totals: dict[str, Counter[int]] = {x: Counter() for x in langs}
     for name, gram, n in found:
         key = 0
         for c in gram:
-            key = key * BASE + place.get(c, OTHER)
-        totals[name][key + (len(gram) - 1) * BASE**3] += n
+            key = key * base + place.get(c, OTHER)
+        totals[name][key + (len(gram) - 1) * base**3] += n
     profiles = []
     for x in langs:
         keys = np.fromiter(totals[x].keys(), np.int64, len(totals[x]))

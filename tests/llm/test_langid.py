@@ -88,3 +88,17 @@ def test_long_text_is_read_whole(spark):
     df = spark.createDataFrame([(1, "the cat and the dog " * 50, "en"), (2, "le chat et le chien " * 50, "fr")], "doc_id long, text string, lang string")
     p = langid.learn(df)
     assert p.predict("12, " * 200_000 + "le chat et le chien")[0] == "fr"
+
+
+def test_many_letters_stay_apart(spark):
+    """Two small languages of different scripts beside one with more letters than a byte can number."""
+    han = "".join(chr(0x4E00 + i) for i in range(600))
+    scripts = {"han": han * 20, "ka": "აბგ დე " * 5, "hy": "աբգ դե " * 5}
+    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(scripts.items())], "doc_id long, text string, lang string")
+    p = langid.learn(df)
+    assert len(p.alphabet) == 610
+    for x, t in scripts.items():
+        lang, score = p.predict(t)
+        assert lang == x and score == 1.0, x
+    for x, t in (("ka", "დე აბგ"), ("hy", "դե աբգ")):
+        assert p.predict(t)[0] == x
