@@ -117,11 +117,11 @@ class Profiles:
         return self.langs[best], float(1 - distance[best] / (self.top * len(mine)))
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", top: int = 400, docs_per_lang: int = 1500, chars_per_doc: int = 20_000) -> Profiles:
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", top: int = 400, docs_per_lang: int = 1500) -> Profiles:
     """Profiles of all languages in `lang`, from rows with a text and a label.
 
     Fitted on a bounded sample of labelled rows: about `docs_per_lang` rows a language, those with the
-    smallest hash of the key, and of each up to `chars_per_doc` characters. Prediction has no bound.
+    smallest hash of the key, each read whole. Prediction has no bound.
     Languages come in code point order; the first wins among equal distances.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -137,7 +137,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     @F.pandas_udf("map<string,long>")
     def counted(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: string_grams(t[:chars_per_doc]))
+        return texts.map(string_grams)
 
     total = sample.select(F.col(lang).alias("lang"), F.explode(counted(F.col(text))).alias("gram", "n")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # a language's most frequent n-grams, with some to spare for ties, and its letters

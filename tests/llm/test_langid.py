@@ -102,3 +102,8 @@ def test_many_letters_stay_apart(spark):
         assert lang == x and score == 1.0, x
     for x, t in (("ka", "დე აბგ"), ("hy", "դե աբգ")):
         assert p.predict(t)[0] == x
+
+
+def test_sampled_texts_are_counted_whole(spark):
+    df = spark.createDataFrame([(1, "a " * 15_000 + "zyx " * 15_000, "x")], "doc_id long, text string, lang string")
+    assert langid.learn(df).predict("zyx")[1] > 0.5
