@@ -7,6 +7,8 @@ import pytest
 
 from framelake.llm import html_extract as h
 
+import html_reference  # the module beside this one
+
 PROSE = "It was the best of times and it was the worst of times, for all that the people of the town knew, and they were not in the habit of saying so to anyone who asked them about it."
 
 
@@ -108,3 +110,80 @@ def test_table_pages_keep_the_article(spark):
         inside = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         want = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", x)).split()) for x in re.split(r"</?p>|</h1>", inside)]
         assert h.main_text(r["html"]) == "\n".join(x for x in want if x)
+
+
+MORE = f"{PROSE} {PROSE}"
+JAPANESE = "これは日本語の文章です。町の人々はそのことをよく知っていましたが、誰にも話しませんでした。そして長い年月が過ぎました。"
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        # marked parts of a line go, the line stays one block
+        (f"<article><p>{PROSE} <span class=ad>BUYNOW</span> more</p></article>", f"{PROSE} more"),
+        (f"<article><p>{PROSE} <span hidden>BUYNOW</span><b aria-hidden=true><i>x</i>y</b> more</p></article>", f"{PROSE} more"),
+        (f"<article><p>{PROSE}</p><button>SHARE</button><label>Email</label><select><option>One<option>Two</select><p>End</p></article>", f"{PROSE}\nEnd"),
+        # what an article links to is its text
+        (f"<article><p>{PROSE}</p><p><a href=x>A whole paragraph that is one link</a></p></article>", f"{PROSE}\nA whole paragraph that is one link"),
+        (f"<article><p>{PROSE}</p><p>See <a href=x>that the people of the town knew of it all</a>.</p><p>{PROSE}</p></article>", f"{PROSE}\nSee that the people of the town knew of it all.\n{PROSE}"),
+        (f"<article><h1><a href=x>Title</a></h1><p>{PROSE}</p></article>", f"Title\n{PROSE}"),
+        # a list of links at an article's end, with its heading, is a menu
+        (f"<article><p>{PROSE}</p><h3>Read next</h3><ul><li><a href=1>first story</a><li><a href=2>second story</a></ul></article>", PROSE),
+        # names count as a whole
+        *[(f"<article><p>{PROSE}</p><section class='{c}'><p>{PROSE}</p></section></article>", f"{PROSE}\n{PROSE}") for c in ("related-work", "legal-news", "notice-period", "sharing-economy", "no-sidebar", "commentary", "adventure")],
+        *[(f"<article><p>{PROSE}</p><section class='{c}'><p>{PROSE}</p></section></article>", PROSE) for c in ("related-posts", "cookie-banner", "post-comments", "ad-slot", "newsletterSignup", "x share_buttons", "sidebar")],
+        # languages without a stop list, and no element that says where the article is
+        (f"<div><a href=x>ホーム</a></div><div>{JAPANESE}</div><div>{JAPANESE}</div>", f"{JAPANESE}\n{JAPANESE}"),
+        (f"<div><a href=x>Home</a></div><div><p>{JAPANESE * 3}</p><p>終わり。</p></div><div>© 2020</div>", f"{JAPANESE * 3}\n終わり。"),
+        ("<div class='content'>A</div><div class='text'>B</div>", "A\nB"),
+        (f"<div class='content'>{MORE}</div><div class='text'>{MORE}</div>", f"{MORE}\n{MORE}"),
+        # the nearer neighbour in the tree counts
+        (f"<ul><li><a href=1>Home</a><li><a href=2>News</a></ul><div><h1>Head</h1><p>{MORE}</p><p>The end.</p></div><div><p>Imprint</p><p>© us</p></div>", f"Head\n{MORE}\nThe end."),
+        (f"<article><p>{MORE}</p></article><article><h3>Teaser</h3><p>Short.</p></article><div>x</div>", MORE),
+    ],
+)
+def test_contract(body, want):
+    assert h.main_text(page(body)) == want
+    assert html_reference.main_text(page(re.sub(r"<(li|option)>([^<]*(?:<a[^>]*>[^<]*</a>)?)(?=<\1>|</ul>|</select>)", r"<\1>\2</\1>", body))) == want
+
+
+def varied(texts):
+    """Pages of many makes around the same paragraphs, with what an extraction must return."""
+    links = "".join(f"<li><a href=/{i}>Section number {i}</a></li>" for i in range(6))
+    makes = [
+        lambda t: f"<nav><ul>{links}</ul></nav><article><h1>A heading</h1>{t}</article><footer>© us</footer>",
+        lambda t: f"<div><ul>{links}</ul></div><div><h1>A heading</h1>{t}</div><div>© us</div>",
+        lambda t: f"<div><ul>{links}</ul></div><table><tr><td><h1>A heading</h1>{t}</td></tr></table><div><ul>{links}</ul></div>",
+        lambda t: f"<header><a href=/>Site</a></header><main><h1>A heading</h1>{t}<ul>{links}</ul></main><aside><p>{PROSE}</p></aside>",
+        lambda t: f"<div><ul>{links}</ul></div><div><h1>A heading</h1>{t}</div><h2>Others</h2><article><h3><a href=/x>One more story of the town</a></h3></article>",
+        lambda t: f"<section class=cookie-notice><p>{MORE}</p></section><div><h1>A heading</h1>{t}</div><div id=comments><p>{MORE}</p></div>",
+    ]
+    for i, t in enumerate(texts):
+        yield page(makes[i % len(makes)]("".join(f"<p>{html.escape(x)}</p>" for x in t))), "\n".join(["A heading", *t])
+
+
+def test_what_each_kind_of_evidence_decides(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").select("text").limit(120).collect()
+    texts = [[" ".join(x.split()) for x in re.findall(r".{200,400}?[.](?=\s|$)", " ".join(r["text"].split()))][:6] for r in rows]
+    pages = list(varied([t for t in texts if t]))
+    right = sum(h.main_text(p) == want for p, want in pages)
+    no_density = sum(h.main_text(p, h.Rules(density=False)) == want for p, want in pages)
+    no_marks = sum(h.main_text(p, h.Rules(marks=False)) == want for p, want in pages)
+    assert len(pages) > 60 and right >= 0.97 * len(pages), (right, len(pages))
+    assert no_density <= 0.6 * len(pages), (no_density, len(pages))
+    assert no_marks >= 0.5 * len(pages), (no_marks, len(pages))
+    for p, _ in pages:
+        assert html_reference.main_text(p) == h.main_text(p)
+
+
+def test_whole_table_equals_the_second_form(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    for r in rows:
+        closed = re.sub(r"(<p><b>(?:(?!</p>|</b>).)*?)(?=<br><p>|<br></article>|</p>)", r"\1</b>", r["html"], flags=re.S)
+        assert html_reference.main_text(closed) == h.main_text(r["html"])
+
+
+def test_densities_carry_most_pages_of_the_table_without_marks(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    same = sum(h.main_text(r["html"], h.Rules(marks=False)) == h.main_text(r["html"]) for r in rows)
+    assert same >= 0.8 * len(rows), same
