@@ -1,7 +1,7 @@
 """WARC archives compressed record by record under a trained Zstandard dictionary.
 
 An archive is a `.warc.zst` file: a leading skippable frame (magic 0x184D2A5D) holds the dictionary,
-then each record is a Zstandard frame of its own. Spark's text writer stores the frames; its line
+itself compressed where that is shorter, then each record is a Zstandard frame of its own. Spark's text writer stores the frames; its line
 separator is an empty skippable frame, which every Zstandard reader passes over, so the files need no
 file system but the one Spark writes to, and its committer keeps a retried task from leaving halves.
 """
@@ -22,6 +22,7 @@ from . import work
 
 #: Fixed values of the two formats.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
+ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50, length 0
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records or pieces of them that a dictionary is learned from, at least.
@@ -82,14 +83,22 @@ def pieces(held: list[bytes], sample_bytes: int, dictionary_bytes: int) -> list[
     return [one[i : i + step] for one in used for i in range(0, len(one), step)]
 
 
-def train(samples: list[bytes], dictionary_bytes: int) -> zstandard.ZstdCompressionDict | None:
-    """None if there are too few samples to learn from; such an archive has no dictionary frame."""
-    if len(samples) < LEAST_SAMPLES:
-        return None
-    try:
-        return zstandard.train_dictionary(dictionary_bytes, samples, k=256, d=8)
-    except zstandard.ZstdError:
-        return None
+def train(samples: list[bytes], dictionary_bytes: int) -> zstandard.ZstdCompressionDict:
+    """A dictionary learned from samples; of fewer, shorter or more uniform ones than the trainer takes, their
+    own bytes, the last `dictionary_bytes` of them. Every archive has one, however its rows are dealt."""
+    if len(samples) >= LEAST_SAMPLES:
+        try:
+            return zstandard.train_dictionary(dictionary_bytes, samples, k=256, d=8)
+        except zstandard.ZstdError:  # what the trainer says of samples it can't learn from
+            pass
+    return zstandard.ZstdCompressionDict(b"".join(samples)[-dictionary_bytes:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
+def dictionary_frame(learned: zstandard.ZstdCompressionDict) -> bytes:
+    data = learned.as_bytes()
+    short = zstandard.compress(data, 19)
+    data = short if len(short) < len(data) or data[:4] == ZSTD_MAGIC else data
+    return DICTIONARY_MAGIC + struct.pack("<I", len(data)) + data
 
 
 def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sample_bytes: int = 1 << 20, dictionary_bytes: int = 32 << 10, level: int = 5, date: str = "2026-01-01T00:00:00Z") -> None:
@@ -97,12 +106,10 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
 
     A task begins a new archive once `archive_bytes` of records went into one, so an archive, and what
     reads it, stays bounded. The dictionary is trained on the records that open the archive, `sample_bytes`
-    of them and LEAST_SAMPLES records, of long ones on a part (see pieces()); all records are compressed with it. A record longer than the bound has
+    of them and LEAST_SAMPLES records, of long ones on a part (see pieces(), train()); all records are compressed with it. A record longer than the bound has
     an archive as long as itself. An empty table writes no archive.
     """
 
-    work.small_batches(rows.sparkSession)
-
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         count, raw, seq, held, held_bytes, squeeze = 0, 0, 0, [], 0, None
@@ -112,9 +119,7 @@ def write_archives(rows: DataFrame, path: str, archive_bytes: int = 32 << 20, sa
             nonlocal squeeze, seq, held, held_bytes
             learned = train(pieces(held, sample_bytes, dictionary_bytes), dictionary_bytes)
             squeeze = zstandard.ZstdCompressor(level=level, dict_data=learned, write_checksum=True)
-            if learned:
-                data = learned.as_bytes()
-                out.append((task * 1_000_000 + count, 0, DICTIONARY_MAGIC + struct.pack("<I", len(data)) + data))
+            out.append((task * 1_000_000 + count, 0, dictionary_frame(learned)))
             for one in held:
                 seq += 1
                 out.append((task * 1_000_000 + count, seq, squeeze.compress(one)))
@@ -164,7 +169,8 @@ def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     learned = None
     if archive[:4] == DICTIONARY_MAGIC:
         (n,) = struct.unpack("<I", archive[4:8])
-        learned = zstandard.ZstdCompressionDict(archive[8 : 8 + n])
+        data = archive[8 : 8 + n]
+        learned = zstandard.ZstdCompressionDict(zstandard.decompress(data) if data[:4] == ZSTD_MAGIC else data)
     with zstandard.ZstdDecompressor(dict_data=learned).stream_reader(archive, read_across_frames=True) as stream:
         data = stream.read()
     at = 0

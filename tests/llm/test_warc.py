@@ -49,10 +49,11 @@ def test_dictionary_and_frames(spark, tmp_path):
         data = f.read_bytes()
         assert data[:4] == warc.DICTIONARY_MAGIC
         n = int.from_bytes(data[4:8], "little")
-        assert zstandard.ZstdCompressionDict(data[8 : 8 + n]).dict_id()
+        learned = zstandard.ZstdCompressionDict(zstandard.decompress(data[8 : 8 + n]))
+        assert learned.dict_id()
         assert len(data) < sum(len(b) for _, b in warc.records(data)) / 3
         # each record is a frame of its own: one alone can be read under the dictionary
-        d = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + n])).decompressobj()
+        d = zstandard.ZstdDecompressor(dict_data=learned).decompressobj()
         at = data.index(b"\x28\xb5\x2f\xfd", 8 + n)
         assert d.decompress(data[at:]).startswith(b"WARC/1.1") and d.unused_data.startswith(b"P*M\x18")
 
@@ -69,6 +70,23 @@ def test_long_records_have_a_dictionary(spark, tmp_path, longs):
     assert files and all(f.read_bytes()[:4] == warc.DICTIONARY_MAGIC for f in files)
 
 
+@pytest.mark.parametrize("parts", [1, 40, 400])
+def test_every_archive_has_a_dictionary(spark, tmp_path, parts):
+    """However the rows are dealt: 40 tasks have a few rows each, 400 one or none."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(200).repartition(parts)
+    got = {r["page_id"]: r["payload"] for r in round_trip(spark, df, tmp_path).collect()}
+    assert got == {r["page_id"]: (r["html"] or "").encode() for r in df.collect()}
+    files = [f.read_bytes() for f in Path(tmp_path, "archives").rglob("part-*")]
+    assert len(files) >= min(parts, 100) and all(d[:4] == warc.DICTIONARY_MAGIC for d in files)
+
+
+def test_record_longer_than_an_archive(spark, tmp_path):
+    rows = [(1, "u", "first words " * 5000), (2, "u", "x"), (3, "u", "other words " * 9000), (4, "u", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = round_trip(spark, df, tmp_path, archive_bytes=1000).collect()
+    assert {r["page_id"]: r["payload"].decode() for r in got} == {r[0]: r[2] or "" for r in rows} and len({r["archive"] for r in got}) > 1
+
+
 def test_damage_is_noticed(spark, tmp_path):
     one = warc.record(1, "u", b"x" * 10, "0" * 64, None, "2026-01-01T00:00:00Z")
     folder = tmp_path / "bad"
