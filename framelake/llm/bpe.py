@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import tokenizers
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ def byte_symbols() -> list[str]:
 
 @dataclass
 class Automaton:
-    """ids: label to id. state: of each id. arcs: for each id, a bit set of the states that have its arc."""
+    """ids: label to id. state: of each id. arcs: for each id, a bit set of the states that have its arc.
+    before: a `tokenizers` file of the normalizer and the splitter alone, or none."""
 
     labels: list[str]
     ids: dict[str, int]
@@ -53,6 +55,7 @@ class Automaton:
     pattern: str
     specials: dict[str, int]
     symbols: list[str] = field(default_factory=byte_symbols)
+    before: str = ""
     cache_words: int = 100_000
     _cache: dict[str, bytes] = field(default_factory=dict)
     _older: dict[str, bytes] = field(default_factory=dict)
@@ -124,6 +127,11 @@ class Automaton:
             for word in self._split.findall(piece.lower()):
                 out += self.encode_word(word)
             return out
+        if self.before and unassigned().search(piece):
+            rules = _rules(self.before)
+            for word, _ in rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(piece)):
+                out += self.encode_word(word)
+            return out
         text = "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
         for word in self._split.findall(text):
             out += self.encode_word("".join([self.symbols[b] for b in word.encode("utf-8", "replace")]))
@@ -167,12 +175,32 @@ class Automaton:
         return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> re.Pattern[str]:
+    """Code points that Python's Unicode tables do not assign. Those of the tokenizers library may: which of
+    them are letters, and how they compose and fold, is asked there."""
+    ranges, start = [], None
+    for c in range(0x110001):
+        odd = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
+        if odd and start is None:
+            start = c
+        elif not odd and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}]")
+
+
+@lru_cache(maxsize=2)
+def _rules(before: str) -> tokenizers.Tokenizer:
+    return tokenizers.Tokenizer.from_str(before)
+
+
 #: str.split() also splits at these, which are not white space in Unicode.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACE = regex.compile(r"[\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
-def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, pattern: str, specials: dict[str, int]) -> Automaton:
+def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, pattern: str, specials: dict[str, int], before: str = "") -> Automaton:
     """Builds the automaton, merge by merge, in rank order. A merge without a path left has no effect."""
     size = max([*vocab.values(), *specials.values()]) + 1
     made = {u + v for u, v in merges}
@@ -211,7 +239,7 @@ def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix:
     labels = [names.get(i, "") for i in range(size)]
     for text, i in specials.items():
         labels[i] = text
-    return Automaton(labels, dict(vocab), state.tolist(), rows, states, suffix, pattern, dict(specials)).prepare()
+    return Automaton(labels, dict(vocab), state.tolist(), rows, states, suffix, pattern, dict(specials), before=before).prepare()
 
 
 @lru_cache(maxsize=2)
@@ -239,12 +267,13 @@ def load(path: str) -> Automaton:
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     split = given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     specials = {t["content"]: t["id"] for t in given["added_tokens"]}
-    return compile_merges(model["vocab"], merges, model["end_of_word_suffix"] or "", split, specials)
+    # normalizer and splitter alone, for code points that only the library knows
+    before = json.dumps({k: given[k] for k in ("version", "normalizer", "pre_tokenizer")} | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})
+    return compile_merges(model["vocab"], merges, model["end_of_word_suffix"] or "", split, specials, before)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the ids of each whole text as an array; a null or empty text has none. No shuffle."""
-    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("array<int>")
@@ -257,7 +286,6 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the decoded text of an array of ids; null where it is null. No shuffle."""
-    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.pandas_udf("string")
@@ -271,7 +299,6 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256: encoded and decoded again where the text is, so
     ids and decoded texts, several times the input, never leave the worker. Columns of these names are replaced."""
-    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(packed(path))
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
