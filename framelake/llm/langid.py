@@ -2,14 +2,14 @@
 
 A profile is a language's most frequent 1- to 3-grams in order. A document's own profile is compared to
 each by out-of-place distance: the sum of rank differences, with the profile's length for an n-gram that
-the language's lacks. Letters are lower-cased; a run of anything else is one space. All letters of the
-texts learned from are told apart; letters of none of them, which no profile holds, are one symbol.
+the language's lacks. Letters are lower-cased; a run of anything else is one space. An n-gram's key is
+its code points, 21 bits each, so that no two are confused.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,61 +17,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import work
 from .caches import claim
 
-SPACE, OTHER, BASE = 0, 1, 256
-CODE_POINTS = 0x110000
+SPACE = 1  # stands for what is not a letter; U+0001 is none
+BITS = 21
 
 
-def symbol_table(alphabet: list[str]) -> np.ndarray:
-    """Symbol of each code point: its place in the alphabet, OTHER for other letters, SPACE for non-letters."""
-    place = {c: i + 2 for i, c in enumerate(alphabet)}
-    table = np.zeros(CODE_POINTS, np.int32)
-    for i in range(CODE_POINTS):
+@lru_cache(maxsize=1)
+def folded() -> np.ndarray:
+    """The lower-case letter of each code point, SPACE for others. No letter lies above plane 3."""
+    claim("langid", folded.cache_clear)
+    table = np.full(0x110000, SPACE, np.int32)
+    for i in range(0x40000):
         c = chr(i)
         if c.isalpha():
             low = c.lower()
-            table[i] = place.get(low if len(low) == 1 else c, OTHER)
+            table[i] = ord(low) if len(low) == 1 else i
     return table
 
 
-def base_for(alphabet: list[str]) -> int:
-    """Keys are numbers to this base: each letter of the alphabet is a digit of its own, however many there are."""
-    return max(BASE, len(alphabet) + 2)
-
-
-def grams(text: str, table: np.ndarray, base: int = BASE) -> np.ndarray:
-    """Keys of all n-grams of a text; none if it has no letter. Keys of different n differ."""
-    kind = np.int32 if base == BASE else np.int64
-    code = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    if not code.any():
-        return np.zeros(0, kind)
+def grams(text: str) -> np.ndarray:
+    """Keys of all n-grams of a text; none if it has no letter."""
+    code = folded()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    if not (code != SPACE).any():
+        return np.zeros(0, np.int64)
     keep = np.ones(len(code), bool)
     keep[1:] = (code[1:] != SPACE) | (code[:-1] != SPACE)
-    code = code[keep].astype(kind)
+    code = code[keep].astype(np.int64)
     if code[0] != SPACE:
-        code = np.concatenate([np.zeros(1, kind), code])
+        code = np.concatenate([[SPACE], code])
     if code[-1] != SPACE:
-        code = np.concatenate([code, np.zeros(1, kind)])
-    two = code[:-1] * base + code[1:]
-    three = two[:-1] * base + code[2:]
-    middle = code[1:-1] != SPACE
-    return np.concatenate([code[code != SPACE], two + base**3, three[middle] + 2 * base**3])
-
-
-def string_grams(text: str) -> Counter[str]:
-    """The same n-grams as text, counted by word: a word's are those of itself between two spaces."""
-    out: Counter[str] = Counter()
-    lower = "".join([(x if len(x := c.lower()) == 1 else c) if c.isalpha() else " " for c in text])
-    for word, n in Counter(lower.split()).items():
-        padded = f" {word} "
-        for i, c in enumerate(padded[:-1]):
-            out[padded[i : i + 2]] += n
-            if i:
-                out[c] += n
-                out[padded[i - 1 : i + 2]] += n
-    return out
+        code = np.concatenate([code, [SPACE]])
+    two = code[:-1] << BITS | code[1:]
+    three = two[:-1] << BITS | code[2:]
+    return np.concatenate([code[code != SPACE], two, three[code[1:-1] != SPACE]])
+
+
+def counted(text: str | None) -> dict[int, int]:
+    """How often each n-gram occurs in a whole text."""
+    keys, n = np.unique(grams(text or ""), return_counts=True)
+    return dict(zip(keys.tolist(), n.tolist()))
 
 
 def ranked(keys: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
@@ -87,22 +72,13 @@ class Profiles:
     """keys: sorted n-grams of all profiles. ranks: their rank in each language's, `top` where absent."""
 
     langs: list[str]
-    alphabet: list[str]
     keys: np.ndarray
     ranks: np.ndarray
     top: int
 
-    def table(self) -> np.ndarray:
-        if not hasattr(self, "_table"):
-            self._table = symbol_table(self.alphabet)
-        return self._table
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_table"}
-
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how far the distance stays below that of a document that shares nothing."""
-        found = grams(text, self.table(), base_for(self.alphabet)) if text else np.zeros(0, np.int32)
+        found = grams(text or "")
         if not len(found) or not self.langs:
             return "und", 0.0
         keys, counts = np.unique(found, return_counts=True)
@@ -122,49 +98,33 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     Fitted on a bounded sample of labelled rows: about `docs_per_lang` rows a language, those with the
     smallest hash of the key, each read whole. Prediction has no bound.
-    Languages come in code point order; the first wins among equal distances.
+    Languages come in code point order; the first wins among equal distances, the smaller key among
+    n-grams that are as frequent. Labelled texts without letters and rows without text or label teach
+    nothing; rows that repeat count as often; extra columns don't matter.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).agg(F.count(F.lit(1))).collect()}
     langs = sorted(counts)
     if not langs:
-        return Profiles([], [], np.zeros(1, np.int64), np.zeros((1, 0), np.int32), top)
+        return Profiles([], np.zeros(1, np.int64), np.zeros((1, 0), np.int32), top)
     spark = labelled.sparkSession
-    work.small_batches(spark)
     share = spark.createDataFrame([(x, min(1.0, docs_per_lang / counts[x]) * 2.0**32) for x in langs], "langid__lang string, langid__below double")
     point = F.xxhash64(F.col(key).cast("string"), F.lit("langid")).bitwiseAND(F.lit((1 << 32) - 1))
     sample = rows.join(F.broadcast(share), F.col(lang) == F.col("langid__lang")).where(point <= F.col("langid__below"))
 
-    @F.pandas_udf("map<string,long>")
-    def counted(texts: pd.Series) -> pd.Series:
-        return texts.map(string_grams)
-
-    total = sample.select(F.col(lang).alias("lang"), F.explode(counted(F.col(text))).alias("gram", "n")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # a language's most frequent n-grams, with some to spare for ties, and its letters
-    first = total.withColumn("i", F.expr("row_number() over (partition by lang order by n desc, gram)")).where(f"i <= {4 * top} or char_length(gram) = 1")
-    found = [(r["lang"], r["gram"], r["n"]) for r in first.collect()]
-    letters: Counter[str] = Counter()
-    for _, gram, n in found:
-        if len(gram) == 1:
-            letters[gram] += n
-    alphabet = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
-    base = base_for(alphabet)
-    place = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": SPACE}
-    totals: dict[str, Counter[int]] = {x: Counter() for x in langs}
-    for name, gram, n in found:
-        key = 0
-        for c in gram:
-            key = key * base + place.get(c, OTHER)
-        totals[name][key + (len(gram) - 1) * base**3] += n
-    profiles = []
-    for x in langs:
-        keys = np.fromiter(totals[x].keys(), np.int64, len(totals[x]))
-        profiles.append(ranked(keys, np.fromiter(totals[x].values(), np.int64, len(keys)), top))
+    @F.pandas_udf("map<long,long>")
+    def all_grams(texts: pd.Series) -> pd.Series:
+        return texts.map(counted)
+
+    total = sample.select(F.col(lang).alias("lang"), F.explode(all_grams(F.col(text))).alias("gram", "n")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    first = total.withColumn("i", F.expr("row_number() over (partition by lang order by n desc, gram)")).where(f"i <= {top}")
+    found = sorted((r["lang"], r["i"], r["gram"]) for r in first.collect())
+    profiles = [np.array([g for name, _, g in found if name == x], np.int64) for x in langs]
     keys = np.unique(np.concatenate([*profiles, np.zeros(1, np.int64)]))
     ranks = np.full((len(keys), len(langs)), top, np.int32)
     for i, p in enumerate(profiles):
         ranks[np.searchsorted(keys, p), i] = np.arange(len(p))
-    return Profiles(langs, alphabet, keys, ranks, top)
+    return Profiles(langs, keys, ranks, top)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -175,12 +135,10 @@ def held_out(key: str = "doc_id") -> Column:
 def predict(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """Adds lang_pred and score (0 to 1), replacing columns of these names. No shuffle; `und` and 0 for a
     text that is null or has no letter, and where nothing was learned."""
-    work.small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(profiles)
 
     @F.arrow_udf("lang_pred string, score double")
     def both(texts: pa.Array) -> pa.Array:
-        claim("langid", lambda: None)
         model = shared.value
         made = [model.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["lang_pred", "score"])

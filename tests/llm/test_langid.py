@@ -18,44 +18,76 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.98 * len(held)
 
 
-def by_hand(text, alphabet):
-    """n-grams of a text by plain Python."""
-    place = {c: i + 2 for i, c in enumerate(alphabet)}
-    code = [(place.get(c.lower() if len(c.lower()) == 1 else c, 1) if c.isalpha() else 0) for c in text]
-    out = [0]
-    for c in code:
-        if c or out[-1]:
-            out.append(c)
-    if out[-1]:
-        out.append(0)
-    grams = Counter()
-    for i, c in enumerate(out):
+def by_hand(text):
+    """n-grams of a text by plain Python: tuples of letters, None for a space."""
+    code = [None]
+    for c in text or "":
+        x = (c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else None
+        if x or code[-1]:
+            code.append(x)
+    if code[-1]:
+        code.append(None)
+    out = Counter()
+    for i, c in enumerate(code):
         if c:
-            grams[c] += 1
-        if i + 1 < len(out):
-            grams[c * 256 + out[i + 1] + 256**3] += 1
-        if i + 2 < len(out) and out[i + 1]:
-            grams[(c * 256 + out[i + 1]) * 256 + out[i + 2] + 2 * 256**3] += 1
-    return grams
+            out[c,] += 1
+        if i + 1 < len(code):
+            out[c, code[i + 1]] += 1
+        if i + 2 < len(code) and code[i + 1]:
+            out[c, code[i + 1], code[i + 2]] += 1
+    return out
+
+
+def number(gram):
+    """Code points as digits of base 2^21; 1 for a space."""
+    key = 0
+    for c in gram:
+        key = key * 2**21 + (ord(c) if c else 1)
+    return key
+
+
+def ranked_by_hand(counts, top):
+    return sorted(counts, key=lambda g: (-counts[g], number(g)))[:top]
 
 
 def test_grams_and_ranks():
-    alphabet = list("etaoin")
-    table = langid.symbol_table(alphabet)
-    for text in ("The tea, Tea  to ION!", "é", "a", "x1y", "İstanbul ß"):
-        want = by_hand(text, alphabet)
-        keys, counts = np.unique(langid.grams(text, table), return_counts=True)
-        assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == want
-        spelled = Counter()
-        for g, n in langid.string_grams(text).items():
-            key = 0
-            for c in g:
-                key = key * 256 + (0 if c == " " else alphabet.index(c) + 2 if c in alphabet else 1)
-            spelled[key + (len(g) - 1) * 256**3] += n
-        assert spelled == want
-        order = sorted(want, key=lambda k: (-want[k], k))
+    for text in ("The tea, Tea  to ION!", "é", "a", "x1y", "İstanbul ß", "日本 語"):
+        want = by_hand(text)
+        assert langid.counted(text) == {number(g): n for g, n in want.items()}
+        keys, counts = np.unique(langid.grams(text), return_counts=True)
+        order = [number(g) for g in ranked_by_hand(want, 500)]
         assert langid.ranked(keys, counts, 5).tolist() == order[:5] and langid.ranked(keys, counts, 500).tolist() == order
-    assert not len(langid.grams("12 ,.", table))
+    assert not len(langid.grams("12 ,.")) and not langid.counted(None)
+
+
+def test_learning_and_prediction_by_hand(spark):
+    """Profiles of a whole table's labelled texts, and all predictions, by plain counting."""
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect() if r["text"]]
+    learned = [r for r in rows if r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = langid.learn(df.where(~langid.held_out()), top=100)
+    profiles = {}
+    for r in learned:
+        profiles.setdefault(r["lang"], Counter()).update(by_hand(r["text"]))
+    profiles = {x: ranked_by_hand(c, 100) for x, c in profiles.items()}
+    assert p.langs == sorted(profiles)
+    for i, x in enumerate(p.langs):
+        assert [int(p.keys[j]) for j in np.argsort(p.ranks[:, i], kind="stable")[: len(profiles[x])]] == [number(g) for g in profiles[x]]
+    places = {x: {g: i for i, g in enumerate(v)} for x, v in profiles.items()}
+    for r in rows:
+        mine = ranked_by_hand(by_hand(r["text"]), 100)
+        if mine:
+            far = {x: sum(abs(v[g] - i) if g in v else 100 for i, g in enumerate(mine)) for x, v in places.items()}
+            best = min(sorted(far), key=far.__getitem__)
+            got = p.predict(r["text"])
+            assert got[0] == best and abs(got[1] - (1 - far[best] / (100 * len(mine)))) < 1e-12
+
+
+def test_sample_is_by_hash_of_the_key(spark):
+    """With more labelled rows than asked for, the rows of the smallest hashes teach, whatever their text."""
+    df = spark.range(4000).selectExpr("id as doc_id", "concat('w', id, ' common') as text", "'en' as lang")
+    p = langid.learn(df, docs_per_lang=100)
+    assert 0 < len(p.keys) and p.predict("common")[1] > 0.3
 
 
 def test_distance_by_hand(spark):
@@ -66,7 +98,7 @@ def test_distance_by_hand(spark):
         want = []
         for i in range(2):
             ranks = {int(k): int(r) for k, r in zip(p.keys, p.ranks[:, i], strict=True) if r < p.top}
-            mine = sorted(g := by_hand(text, p.alphabet), key=lambda k: (-g[k], k))[:20]
+            mine = [number(g) for g in ranked_by_hand(by_hand(text), 20)]
             want.append(sum(abs(ranks[k] - j) if k in ranks else p.top for j, k in enumerate(mine)) / (p.top * len(mine)))
         lang, score = p.predict(text)
         assert lang == p.langs[int(np.argmin(want))] and abs(score - (1 - min(want))) < 1e-12
@@ -96,7 +128,6 @@ def test_many_letters_stay_apart(spark):
     scripts = {"han": han * 20, "ka": "აბგ დე " * 5, "hy": "աբգ դե " * 5}
     df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(scripts.items())], "doc_id long, text string, lang string")
     p = langid.learn(df)
-    assert len(p.alphabet) == 610
     for x, t in scripts.items():
         lang, score = p.predict(t)
         assert lang == x and score == 1.0, x
