@@ -18,8 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import work
-
 #: Frequent function words of each language.
 STOP_WORDS = {
     "en": "the of and to in a is that for it was on are as with be by at this from or an have not they but which you were there his her their we has will all can if".split(),
@@ -452,7 +450,6 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text", rules: Rule
     Rows are independent: no shuffle, repeated rows give repeated results, null pages an empty text.
     """
     rules = rules or Rules()
-    work.small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")
     def texts(page: pd.Series) -> pd.Series:

@@ -334,8 +334,6 @@ def scan_documents(documents: DataFrame, text: str = "text", out: str = "license
     """Adds the licences found in each whole text, in order of the templates' names; null and empty texts
     have none. Rows are independent: no shuffle. A column of that name is replaced."""
     given = tuple(sorted((templates or TEMPLATES).items()))
-    work.small_batches(documents.sparkSession)
-
     @F.pandas_udf(FOUND)
     def find(texts: pd.Series) -> pd.Series:
         ready = compiled(given, percent)
