@@ -90,8 +90,6 @@ def sequence(page: str | None) -> list[dict]:
 def sequences(pages: DataFrame, html: str = "html", out: str = "items") -> DataFrame:
     """Adds each page's sequence; rows are independent."""
 
-    work.small_batches(pages.sparkSession)
-
     @F.pandas_udf(SEQUENCE)
     def parse(page: pd.Series) -> pd.Series:
         return page.map(sequence, na_action=None)
@@ -166,8 +164,6 @@ def write_store(rows: DataFrame, path: str, digest: str = "digest", media: str =
 def store_texts(documents: DataFrame, path: str, text: str = "text", level: int = 6) -> None:
     """Stores the payload of each whole text; null texts are empty ones."""
 
-    work.small_batches(documents.sparkSession)
-
     @F.pandas_udf("digest string, media binary")
     def made(texts: pd.Series) -> pd.DataFrame:
         data = [payload(t) for t in texts]
@@ -184,8 +180,6 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     """
     kinds = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
-    work.small_batches(spark)
-
     @F.pandas_udf(kinds)
     def read(digest: pd.Series, media: pd.Series) -> pd.DataFrame:
         rows = []
@@ -204,31 +198,59 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def resolve(documents: DataFrame, store: DataFrame, key: list[str], items: str = "items") -> DataFrame:
-    """key, the item's fields and the store's columns (null where it lacks the digest), a row per item.
+def flatten(documents: DataFrame, key: list[str], items: str = "items") -> DataFrame:
+    """key and the item's fields, a row per item, so that position and caption stay with its reference."""
+    # the outer form keeps the optimizer from parsing twice to look for empty sequences
+    return documents.select(*key, F.explode_outer(items).alias("media__item")).select(*key, "media__item.*").where("position is not null")
 
-    A left join on the digest; a digest that many items share is a matter of skew only, as the store
-    has it once. Items without a digest stay, unresolved.
+
+def resolve(references: DataFrame, store: DataFrame, by: list[str]) -> DataFrame:
+    """The references with the store's columns, null where it lacks their digest or they have none.
+
+    A left join on the digest. References are written first, as they are counted; a digest that many of
+    them share is dealt over several tasks by the columns `by`, which tell them apart.
     """
-    # the outer form keeps the optimizer from parsing twice to look for empty sequences
-    flat = documents.select(*key, F.explode_outer(items).alias("media__item")).select(*key, "media__item.*").where("position is not null")
-    return flat.join(store, "digest", "left")
+    flat = work.materialize(references, "references")
+    uses = flat.where("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("media__n"))
+    used = work.materialize(store.join(uses, "digest"), "used")
+    return work.join_spread(flat, used, "digest", "media__n", flat.count(), ", ".join(by), "left").drop("media__n")
+
+
+def gallery(texts: DataFrame, key: str = "doc_id", per_page: int = 16) -> DataFrame:
+    """held, html: pages that show the media of up to `per_page` rows of `texts` (key, n_bytes, digest), one
+    after the other with a line of text before and a caption under each; held has the rows' key and n_bytes
+    in order, and captions are places in it. Rows of an Arrow batch share pages: no shuffle."""
+    kind = texts.schema[key].dataType.simpleString()
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, sizes, digests = b.column(0), b.column(1), b.column(2).to_pylist()
+            starts = [*range(0, b.num_rows, per_page), b.num_rows]
+            held = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays([keys, sizes], ["key", "n_bytes"]))
+            pages = []
+            for i, j in zip(starts, starts[1:]):
+                shown = "".join(f'<p>Item {k} of {j - i} &amp; its image:</p><figure><img alt="" src="sha256:{digests[i + k]}"><figcaption>{k}</figcaption></figure>' for k in range(j - i))
+                pages.append(f"<article><h1>{j - i} items</h1>{shown}</article>")
+            if pages:
+                yield pa.RecordBatch.from_arrays([held, pa.array(pages, pa.string())], ["held", "html"])
+
+    return texts.select(key, "n_bytes", "digest").mapInArrow(make, f"held array<struct<key:{kind},n_bytes:bigint>>, html string")
 
 
 def document_media(documents: DataFrame, level: int = 6) -> DataFrame:
-    """Stores every text of `documents` as media, refers to it from a page a document, parses, resolves.
+    """Stores every text of `documents` as media, refers to them from pages of up to 16, parses, resolves.
 
-    doc_id, n_bytes and what read_features() has; caption and position are those of the reference.
+    doc_id, n_bytes and what read_features() has; position and caption are those of the reference, and
+    the caption says which of a page's documents it stands for. A null or empty text is stored as one row
+    of bytes 255; repeated rows are returned as often, equal texts share one payload; whole texts however
+    long, one row of pixels for each 576 bytes. Other columns don't matter.
     """
     spark = documents.sparkSession
     path = work.new_path(spark, "media")
     store_texts(documents, path, level=level)
     padded = F.expr("rpad(coalesce(cast(text as binary), X''), cast(greatest(576, 576 * ceil(coalesce(octet_length(text), 0) / 576)) as int), X'FF')")
-    digest = F.sha2(padded, 256)
-    pages = documents.select(
-        "doc_id",
-        F.expr("cast(coalesce(octet_length(text), 0) as bigint)").alias("n_bytes"),
-        F.concat(F.lit('<article><h1>Text</h1><figure><img src="sha256:'), digest, F.lit('"><figcaption>document '), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("</figcaption></figure></article>")).alias("html"),
-    )
-    found = resolve(sequences(pages).drop("html"), read_features(spark, path), ["doc_id", "n_bytes"]).where("kind = 'image'")
+    texts = documents.select("doc_id", F.expr("cast(coalesce(octet_length(text), 0) as bigint)").alias("n_bytes"), F.sha2(padded, 256).alias("digest"))
+    items = flatten(sequences(gallery(texts)), ["held"]).where("kind = 'image'")
+    references = items.withColumn("of", F.expr("held[cast(caption as int)]")).selectExpr("of.key as doc_id", "of.n_bytes", "digest", "position", "caption")
+    found = resolve(references, read_features(spark, path), ["doc_id", "position"])
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
