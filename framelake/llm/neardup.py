@@ -1,7 +1,8 @@
 """Near-duplicates by MinHash: minima, banding, verification, components by large-star and small-star.
 
 Texts with the same words are one class, named by its smallest doc_id. Classes that share a bucket of a
-band are compared to the bucket's smallest and largest member, never all with all, on their full sets.
+band are compared to the bucket's smallest and largest member, never all with all: first by their
+signatures, which leave out what cannot be similar enough, then on their full sets.
 Buckets that still span several components after that go through an exact join: documents whose sets
 are similar enough share one of their rarest shingles (prefix filter), so no link between members of
 a bucket is lost to the two pivots.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,10 @@ from .caches import claim
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
 
+#: Postings of one shingle that meet in one key of the exact join.
+POSTINGS = 256
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[0])
     x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[1])
@@ -101,13 +107,28 @@ def buckets(least: np.ndarray, bands: int) -> np.ndarray:
     return acc
 
 
+def least_agreement(samples: int, percent: int, risk: float = 1e-9) -> int:
+    """How many minima two sets of the least similarity have in common at least, but for a chance of `risk`."""
+    p, below = percent / 100, 0.0
+    for k in range(samples + 1):
+        below += comb(samples, k) * p**k * (1 - p) ** (samples - k)
+        if below > risk:
+            return k
+    return samples
+
+
 def sketches(documents: DataFrame, key: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """doc, k1, k2 (128-bit hash of the words), n (set size), buckets (none for an empty set). No shuffle."""
+    """doc, k1, k2 (128-bit hash of the words), n (set size), buckets and sig, the upper halves of the minima
+    (none for an empty set). No shuffle."""
+
+    def lists(parts: list[np.ndarray], of: np.dtype) -> pa.ListArray:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, of), *parts])))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for b in batches:
-                k1, k2, n, found = [], [], [], []
+                k1, k2, n, found, sigs = [], [], [], [], []
                 for t in b.column(1):
                     w = words(t.as_py())
                     s = shingle_set(w, width)
@@ -115,14 +136,13 @@ def sketches(documents: DataFrame, key: str, text: str, width: int, bands: int,
                     k1.append((d >> 64) - (1 << 63))
                     k2.append((d & (2**64 - 1)) - (1 << 63))
                     n.append(len(s))
-                    found.append(buckets(minima(s, bands * rows), bands).view(np.int64) if len(s) else np.zeros(0, np.int64))
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), lists], ["doc", "k1", "k2", "n", "buckets"])
+                    least = minima(s, bands * rows) if len(s) else np.zeros(0, np.uint64)
+                    found.append(buckets(least, bands).view(np.int64) if len(s) else np.zeros(0, np.int64))
+                    sigs.append((least >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                columns = [b.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), lists(found, np.int64), lists(sigs, np.int32)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "k1", "k2", "n", "buckets", "sig"])
 
-    work.small_batches(documents.sparkSession)
-    return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(sketch, "doc long, k1 long, k2 long, n long, buckets array<long>")
+    return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(sketch, "doc long, k1 long, k2 long, n long, buckets array<long>, sig array<int>")
 
 
 def shingle_sets(documents: DataFrame, key: str, text: str, width: int, batch_bytes: int = 8 << 20) -> DataFrame:
@@ -151,19 +171,27 @@ def shingle_sets(documents: DataFrame, key: str, text: str, width: int, batch_by
                 if docs:
                     yield batch(docs, sets)
 
-    work.small_batches(documents.sparkSession)
     return documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(make, "doc long, n long, shingles array<long>")
 
 
+def alike(pairs: DataFrame, classes: DataFrame, percent: int, samples: int) -> DataFrame:
+    """Signature verification: the pairs a < b whose sizes and minima allow the least similarity.
+
+    The share of equal minima estimates it. A pair goes where so few agree that at the least similarity
+    it would happen once in 10^9 times; what stays is compared on full sets.
+    """
+    of = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+    equal = "aggregate(zip_with(sa, sb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)"
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").where(f"{equal} >= {least_agreement(samples, percent)}").select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a < b whose full sets satisfy 100 |A and B| >= percent |A or B|; sizes are compared first."""
-    left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    sizes = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    """The pairs a < b whose full sets satisfy 100 |A and B| >= percent |A or B|."""
+    of = lambda x: sets.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"s{x}"))
     both = F.expr("cast(size(array_intersect(sa, sb)) as bigint)")
-    sized = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b").where(sizes).select("a", "b").distinct()
-    joined = sized.join(left, "a").join(right, "b").where(sizes).withColumn("both", both)
-    return joined.where(f"100 * both >= {percent} * (na + nb - both)").select("a", "b").distinct()
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("both", both)
+    return joined.where(f"100 * both >= {percent} * (na + nb - both)").select("a", "b")
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -205,18 +233,24 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     component go before the join.
     """
     flat = sets.join(members, "doc").select("doc", "comp", "n", F.explode("shingles").alias("s"))
+    total = sets.join(members, "doc").agg(F.sum("n")).first()[0] or 0
     rarity = flat.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    order = flat.join(rarity, "s")
+    order = work.join_spread(flat, rarity, "s", "df", total, "doc")
     # shingles of one member alone come first in its order and can't be shared: only their number counts
     alone = order.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
     ranked = order.join(alone, "doc").withColumn("at", F.expr("n - shared + row_number() over (partition by doc order by df, s)"))
-    prefix = ranked.where(f"at <= n - ceil({percent} * n / 100D) + 1").select("s", "doc", "comp", "n", "at")
-    mixed = prefix.groupBy("s").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("s")
-    left = prefix.join(mixed, "s")
-    x, y = left.alias("x"), left.alias("y")
+    prefix = work.materialize(ranked.where(f"at <= n - ceil({percent} * n / 100D) + 1").select("s", "doc", "comp", "n", "at"), "prefix")
+    mixed = prefix.groupBy("s").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("postings")).where("c0 <> c1").select("s", "postings")
+    left = work.join_spread(prefix, mixed, "s", "postings", total, "doc")
+    # a long list of postings is cut into blocks, and each pair of blocks is a key of the join
+    cut = left.withColumn("parts", F.expr(f"cast(ceil(postings / {POSTINGS}) as int)")).withColumn("own", F.expr("pmod(xxhash64(doc, s), parts)"))
+    keys = cut.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumns({"k0": F.least("own", "other"), "k1": F.greatest("own", "other")})
+    x, y = keys.alias("x"), keys.alias("y")
     sized = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
     reach = F.expr(f"{100 + percent} * (1 + least(x.n - x.at, y.n - y.at)) >= {percent} * (x.n + y.n)")
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & sized & reach)
+    # within one block all pairs meet; of two blocks, those of one with those of the other
+    same = (F.col("x.s") == F.col("y.s")) & (F.col("x.k0") == F.col("y.k0")) & (F.col("x.k1") == F.col("y.k1")) & ((F.col("x.k0") == F.col("x.k1")) | (F.col("x.own") != F.col("y.own")))
+    met = x.join(y, same & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & sized & reach)
     return met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
@@ -225,23 +259,26 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
     Documents are linked when their sets of `width`-word shingles have a Jaccard similarity of `percent`
     hundredths or more; component_id is the smallest key reachable, kept is whether that is the row's own.
-    A pair at the least similarity shares no bucket with probability (1 - (percent / 100)^rows)^bands.
+    A pair at the least similarity shares no bucket with probability (1 - (percent / 100)^rows)^bands, and
+    its signatures rule it out with one of 10^-9 at most.
     Null and empty texts are linked with nothing. Rows that repeat a key are one node: their links add
     up. A null key can't be named: its component is null and it is kept.
     """
     made = work.materialize(sketches(documents, key, text, width, bands, rows), "sketches")
     named = made.where("doc is not null and n > 0")
-    classes = work.materialize(named.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets")), "classes")
+    classes = work.materialize(named.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("sig").alias("sig")), "classes")
     inside = classes.select("rep", F.explode("buckets").alias("h"))
-    wide = inside.groupBy("h").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    shared = work.materialize(inside.join(wide, "h"), "shared")
+    wide = work.materialize(inside.groupBy("h").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi"), "wide")
+    among = wide.agg(F.sum("size")).first()[0] or 0
+    shared = work.materialize(work.join_spread(inside, wide, "h", "size", among, "rep"), "shared")
     pairs = work.materialize(
         shared.select("rep", F.explode(F.array("lo", "hi")).alias("pivot")).where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(), "pairs"
     )
+    likely = work.materialize(alike(pairs, classes, percent, bands * rows), "likely")
     asked = shared.select(F.col("rep").alias("doc")).distinct()
     texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(asked.hint("shuffle_hash"), "doc", "left_semi")
     sets = work.materialize(shingle_sets(texts, "doc", "text", width), "sets")
-    links = work.materialize(verified(pairs, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    links = work.materialize(verified(likely, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     # a key that repeats with other texts ties their classes together
     of = named.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc", "rep")
     torn = of.groupBy("doc").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 <> r1").select("doc")
@@ -250,22 +287,22 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     labels = components(known)
 
     crowded = shared.where("size > 3").select("h", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("h", F.col("rep").alias("doc"), F.coalesce("component", "rep").alias("comp"))
-    split = crowded.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("h")
-    members = work.materialize(crowded.join(split, "h").select("doc", "comp").distinct(), "members")
+    split = crowded.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size")).where("c0 <> c1").select("h", "size")
+    members = work.materialize(work.join_spread(crowded, split, "h", "size", among, "doc").select("doc", "comp").distinct(), "members")
     if not members.isEmpty():
-        more = work.materialize(verified(_prefix_pairs(members, sets, percent), sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "more")
+        more = work.materialize(verified(alike(_prefix_pairs(members, sets, percent), classes, percent, bands * rows), sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "more")
         if not more.isEmpty():
             old, labels = labels, components(known.union(more))
             work.release(old)
         work.release(more)
-    work.release(shared, pairs, sets, links, known, members)
+    work.release(wide, shared, pairs, likely, sets, links, known, members)
     return _labelled(made, classes, labels, key)
 
 
 def _labelled(made: DataFrame, classes: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     named = classes.join(labels, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
     component: Column = F.when(F.col("n") > 0, F.coalesce("of_class", "doc")).otherwise(F.col("doc"))
-    rows = made.drop("buckets").join(named, ["k1", "k2"], "left").withColumn("component_id", F.when(F.col("doc").isNotNull(), component))
+    rows = made.drop("buckets", "sig").join(named, ["k1", "k2"], "left").withColumn("component_id", F.when(F.col("doc").isNotNull(), component))
     return rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -10,7 +10,7 @@ import pytest
 from compare import assert_same, connection
 
 from framelake.llm import neardup as nd
-from framelake.llm import queries
+from framelake.llm import queries, work
 
 
 def shingles(text, width):
@@ -134,3 +134,67 @@ def test_dedup_keeps_columns_and_one_of_each(spark):
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
     assert_same(queries.op9_near_dedup(spark, sf), connection(sf), queries.SQL["op9_near_dedup"])
+
+
+def test_least_agreement():
+    """The chance of fewer equal minima than asked for, at the least similarity, is below one in 10^9."""
+    from math import comb
+
+    for samples, percent in ((80, 85), (112, 80)):
+        k, p = nd.least_agreement(samples, percent), percent / 100
+        chance = lambda n: sum(comb(samples, i) * p**i * (1 - p) ** (samples - i) for i in range(n))
+        assert chance(k) <= 1e-9 < chance(k + 1)
+
+
+def test_signatures_estimate_similarity_and_lose_nothing(spark):
+    rng = np.random.default_rng(5)
+    sets = []
+    for i in range(60):
+        base = rng.integers(0, 2**63, 400).astype(np.uint64)
+        other = base.copy()
+        other[: i * 2] = rng.integers(0, 2**63, i * 2).astype(np.uint64)
+        sets.append((base, other))
+    off = []
+    for a, b in sets:
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        got = (nd.minima(a, 112) == nd.minima(b, 112)).mean()
+        off.append(got - true)
+        assert 100 * true < 80 or (nd.minima(a, 112) == nd.minima(b, 112)).sum() >= nd.least_agreement(112, 80)
+    assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.06
+
+
+@pytest.mark.parametrize(("width", "percent", "bands"), [(5, 80, 28), (3, 85, 20)])
+def test_recall_of_links_at_the_threshold(spark, width, percent, bands):
+    """Thousands of planted pairs from the threshold up: what links of them are found, each group one pair."""
+    rng = np.random.default_rng(percent)
+    rows, links = [], 0
+    for i in range(2500):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, 150)]
+        edited = list(words)
+        for at in rng.choice(150, int(rng.integers(1, 5)), replace=False):
+            edited[at] = f"e{rng.integers(0, 10**9)}"
+        a, b = ({tuple(w[j : j + width]) for j in range(len(w) - width + 1)} for w in (words, edited))
+        if 100 * len(a & b) >= percent * len(a | b):
+            links += 1
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = nd.near_duplicates(df, width=width, percent=percent, bands=bands).where("not kept").count()
+    assert links > 1000 and found >= 0.999 * links, (found, links)
+
+
+def test_hot_postings_are_cut_into_blocks(spark, monkeypatch):
+    """Lists longer than a block still give all pairs: the same components with blocks of four."""
+    monkeypatch.setattr(nd, "POSTINGS", 4)
+    common = [f"c{i}" for i in range(60)]
+    rows = [(i, " ".join([*common, *(f"x{i % 9}y{j}" for j in range(8 + i % 3))])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(df, width=3, percent=85, bands=20).collect()}
+    assert got == brute(rows, 3, 85)[0]
+
+
+def test_join_spread_equals_a_join(spark):
+    rows = spark.range(5000).selectExpr("if(id % 3 = 0, null, if(id % 2 = 0, 7, id)) as k", "id as v")
+    keyed = rows.where("k is not null").groupBy("k").count().withColumnRenamed("count", "n")
+    for how in ("inner", "left"):
+        got = work.join_spread(rows, keyed, "k", "n", 5000, "v", how)
+        assert sorted(got.select("k", "v", "n").collect(), key=str) == sorted(rows.join(keyed, "k", how).select("k", "v", "n").collect(), key=str)
