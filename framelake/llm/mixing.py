@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,25 +39,25 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
 def subset_sum(counts: dict[int, int], budget: int) -> dict[int, int]:
     """How many of each length reach the largest sum within the budget, using at most its count.
 
-    Counts are split in powers of two; a bit set holds the sums reached, and for each sum the item that
-    reached it first, so memory is bounded by the budget.
+    Counts are split in powers of two; a bit set holds the sums reached, and an array the step that
+    reached each first: four bytes a unit of the budget, whatever the lengths and their number.
     """
-    reached, by = 1, {}
-    full = (1 << (budget + 1)) - 1
+    reached, full = 1, (1 << (budget + 1)) - 1
+    first, steps = np.full(budget + 1, -1, np.int32), []
     for length in sorted(counts, reverse=True):
         n, step = min(counts[length], budget // length), 1
         while n > 0 and reached != full:
             k = min(step, n)
             fresh = (reached << (length * k)) & full & ~reached
-            reached |= fresh
-            while fresh:
-                low = fresh & -fresh
-                by[low.bit_length() - 1] = (length, k)
-                fresh ^= low
+            if fresh:
+                reached |= fresh
+                bits = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), np.uint8)
+                first[np.flatnonzero(np.unpackbits(bits, bitorder="little"))] = len(steps)
+                steps.append((length, k))
             n, step = n - k, step * 2
     at, out = reached.bit_length() - 1, {}
     while at:
-        length, k = by[at]
+        length, k = steps[first[at]]
         out[length] = out.get(length, 0) + k
         at -= length * k
     return out
