@@ -6,8 +6,9 @@ for a merge (u, v) -> w lets every u-arc that reaches a state with a v-arc reach
 v-arc instead, and adds a w-arc beside each such u-arc, to where v led. All arcs of a token lead to one
 state, so the automaton is a state for each token and, for each token, the set of states with its arc.
 
-Encoding walks a word once: the last token of each prefix is the one whose arc leaves the state reached
-before it. Decoding emits the arcs' labels.
+Encoding walks a word once, through the trie of the arcs' labels with links from each prefix to its suffixes
+in the trie: the last token of a prefix is the one whose arc leaves the state reached before it. Decoding
+emits the arcs' labels.
 """
 
 from __future__ import annotations
@@ -17,8 +18,11 @@ import json
 import pickle
 import re
 import unicodedata
+from collections import deque
 from dataclasses import dataclass, field
 from functools import lru_cache
+from string import ascii_lowercase
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -57,13 +61,11 @@ class Automaton:
     symbols: list[str] = field(default_factory=byte_symbols)
     before: str = ""
     cache_words: int = 100_000
-    _cache: dict[str, bytes] = field(default_factory=dict)
-    _older: dict[str, bytes] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
         rows = {row: i for i, row in enumerate(dict.fromkeys(self.arcs))}
         short = (zstandard.compress(b"".join(rows), 3), np.array([rows[row] for row in self.arcs], np.int32))
-        return {k: v for k, v in self.__dict__.items() if k[0] != "_"} | {"arcs": short, "_cache": {}, "_older": {}}
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"} | {"arcs": short}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -73,11 +75,15 @@ class Automaton:
         self.prepare()
 
     def prepare(self) -> Automaton:
-        """Tables that follow from the automaton: the arcs' labels as a trie, `_next` from node and symbol
-        to node, and the id of the label that ends in a node, inside a word and at its end."""
+        """Tables that follow from the automaton: the labels as a trie, with the transitions that lead from a
+        prefix of a word to the next one's longest suffix in the trie (`_next`, filled in as words need
+        them, from `_fail`), and the tokens that end there, longest first: a node's own in `_inside` or, at a
+        word's end, `_last`, then those of the nodes that the links lead to."""
         self._split = regex.compile(self.pattern)
+        self._letters = self._split.findall(ascii_lowercase) == [ascii_lowercase]
+        self._known = Pieces(self)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self._next, self._inside, self._last = [{}], [-1], [-1]
+        self._next, self._inside, self._last, self._depth = [{}], [-1], [-1], [0]
         for label, i in self.ids.items():
             ends = bool(self.suffix) and label.endswith(self.suffix)
             node = 0
@@ -88,56 +94,98 @@ class Automaton:
                     self._next.append({})
                     self._inside.append(-1)
                     self._last.append(-1)
+                    self._depth.append(self._depth[node] + 1)
                 node = to
             if ends or not self.suffix:
                 self._last[node] = i
             if not ends:
                 self._inside[node] = i
+        # a state as a place and a bit in the sets of arcs
+        self._byte, self._bit = [x >> 3 for x in self.state], [1 << (x & 7) for x in self.state]
+        self._length = [len(x.removesuffix(self.suffix)) if self.suffix else len(x) for x in self.labels]
+        n = len(self._next)
+        self._fail, self._inside_link, self._last_link, self._filled = [0] * n, [0] * n, [0] * n, 0
+        waiting = deque([0])
+        while waiting:
+            node = waiting.popleft()
+            for c, to in self._next[node].items():
+                if node:
+                    at = self._fail[node]
+                    while at and c not in self._next[at]:
+                        at = self._fail[at]
+                    at = self._fail[to] = self._next[at].get(c, 0)
+                    self._inside_link[to] = at if self._inside[at] >= 0 else self._inside_link[at]
+                    self._last_link[to] = at if self._last[at] >= 0 else self._last_link[at]
+                waiting.append(to)
         return self
 
+    def _follow(self, node: int, c: str) -> int:
+        """Where a symbol leads that a node's label can't be followed by: kept for the next time, up to a bound."""
+        at = node
+        while at and c not in self._next[at]:
+            at = self._fail[at]
+        to = self._next[at].get(c, 0)
+        if self._filled < self.cache_words * 4:
+            self._filled += 1
+            self._next[node][c] = to
+        return to
+
     def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-split word, given in byte symbols: one pass from left to right."""
-        n, state, arcs, step, inside = len(word), self.state, self.arcs, self._next, self._inside
-        reached, chosen, back = [0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        for j in range(n):
-            if back[j] < 0 and j:
-                continue
-            s = reached[j]
-            at, bit, node, i = s >> 3, s & 7, 0, j
-            while i < n:
-                node = step[node].get(word[i])
-                if node is None:
+        """Ids of one pre-split word, given in byte symbols: one pass from left to right.
+
+        After each symbol, the one token whose arc leaves the state that was reached before it is the last
+        of the prefix; candidates are those that end here.
+        """
+        n, arcs, step, depth, at_byte, at_bit = len(word), self.arcs, self._next, self._depth, self._byte, self._bit
+        token, link = self._inside, self._inside_link
+        places, bits, chosen, node, i = [0] * (n + 1), [0] * (n + 1), [-1] * (n + 1), 0, 0
+        bits[0] = 1
+        for c in word:
+            i += 1
+            to = step[node].get(c)
+            node = self._follow(node, c) if to is None else to
+            if i == n:
+                token, link = self._last, self._last_link
+            at = node if token[node] >= 0 else link[node]
+            while at:
+                t, j = token[at], i - depth[at]
+                if arcs[t][places[j]] & bits[j]:
+                    places[i], bits[i], chosen[i] = at_byte[t], at_bit[t], t
                     break
-                i += 1
-                t = inside[node] if i < n else self._last[node]
-                if t >= 0 and arcs[t][at] >> bit & 1:
-                    reached[i], chosen[i], back[i] = state[t], t, j
-        if n and back[n] < 0:
+                at = link[at]
+        if n and chosen[n] < 0:
             raise ValueError(f"no path for {word!r}")
         out, i = [], n
         while i:
-            out.append(chosen[i])
-            i = back[i]
-        return out[::-1]
+            t = chosen[i]
+            out.append(t)
+            i -= self._length[t]
+        out.reverse()
+        return out
 
     def _piece(self, piece: str) -> list[int]:
         """Ids of a text without special tokens: composed, lower case by single characters, split."""
         out: list[int] = []
         if piece.isascii() and piece.isprintable():  # such bytes stand for themselves
+            if self._letters and piece.isalpha():
+                return self.encode_word(piece.lower())
             for word in self._split.findall(piece.lower()):
                 out += self.encode_word(word)
             return out
-        if self.before and unassigned().search(piece):
+        if self.before and not piece.isprintable() and unassigned().search(piece):
             rules = _rules(self.before)
             for word, _ in rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(piece)):
                 out += self.encode_word(word)
             return out
-        text = "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
+        text = unicodedata.normalize("NFC", piece)
+        # only a capital sigma's lower case depends on what is around it
+        text = "".join([c.lower() for c in text]) if "\u03a3" in text else text.lower()
         for word in self._split.findall(text):
             out += self.encode_word("".join([self.symbols[b] for b in word.encode("utf-8", "replace")]))
         return out
 
-    def _chunk(self, chunk: str) -> bytes:
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a text without white space, as little-endian unsigned 32-bit integers."""
         out: list[int] = []
         if self._special and "<" in chunk:
             for part in self._special.split(chunk):
@@ -147,34 +195,41 @@ class Automaton:
                     out += self._piece(part)
         else:
             out = self._piece(chunk)
-        return np.array(out, "<u4").tobytes()
+        return pack(f"<{len(out)}I", *out)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers; nothing for a null.
 
-        No word of the split spans white space, so ids of the pieces between it are kept for reuse: the
-        last `cache_words` of up to 64 characters, and those seen again of as many before them.
+        No word of the split spans white space, so ids of the pieces between it are kept for reuse.
         """
-        cache, older, out = self._cache, self._older, []
-        for chunk in (text or "").split() if not _ODD_SPACE.search(text or "") else _SPACE.split(text):
-            ids = cache.get(chunk)
-            if ids is None:
-                ids = older.get(chunk)
-                if ids is None:
-                    ids = self._chunk(chunk)
-                if len(chunk) <= 64:
-                    if len(cache) >= self.cache_words:
-                        self._older = older = cache
-                        self._cache = cache = {}
-                    cache[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        text = text or ""
+        return b"".join(map(self._known.__getitem__, _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()))
 
     def decode(self, ids: bytes) -> str:
         """The labels of the path, with a space between them, as vocabularies without a decoder do."""
         return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+class Pieces(dict):
+    """Ids of pieces of up to 64 characters: the last `cache_words` of them, and those seen again of as many before."""
+
+    def __init__(self, automaton: Automaton) -> None:
+        super().__init__()
+        self.automaton = automaton
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.automaton.chunk(piece)
+        if len(piece) <= 64:
+            if len(self) >= self.automaton.cache_words:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 @lru_cache(maxsize=1)
 def unassigned() -> re.Pattern[str]:
     """Code points that Python's Unicode tables do not assign. Those of the tokenizers library may: which of

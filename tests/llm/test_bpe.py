@@ -55,8 +55,8 @@ def test_all_code_points(real):
     """Alone, between letters and after a mark: also what Python's Unicode tables do not assign."""
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x32000 or c % 997 == 0 or 0xE0000 <= c < 0xE0200)]
     for i in range(0, len(points), 500):
-        for form in ("{}", "a{}b", "!{}1", "e\u0301{}"):
-            texts = [form.format(c) for c in points[i : i + 500]]
+        for form in ("{}", "a{}b!{}1") if i % 5000 else ("{}", "a{}b", "!{}1", "e\u0301{}"):
+            texts = [form.replace("{}", c) for c in points[i : i + 500]]
             want = [e.ids for e in real.encode_batch(texts, add_special_tokens=False)]
             for t, w in zip(texts, want):
                 assert ids(t) == w, (t, [hex(ord(c)) for c in t])
