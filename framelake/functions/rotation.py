@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IDENTITY_POSE = (0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0)
@@ -59,6 +59,25 @@ def from_6d(d: list[Column]) -> list[Column]:
     return [a[0], b[0], c[0], a[1], b[1], c[1], a[2], b[2], c[2]]
 
 
+def with_matrix(df: DataFrame, given: list[Column], prefix: str) -> DataFrame:
+    """Adds from_6d() as columns, norm by norm, so that none is computed more than once."""
+    p = f"{prefix}__"
+    one = df.withColumns({f"{p}d{i}": x for i, x in enumerate(given)})
+    d = [F.col(f"{p}d{i}") for i in range(6)]
+    one = one.withColumn(f"{p}na", F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]) + F.lit(1e-12))
+    one = one.withColumns({f"{p}a{i}": d[i] / F.col(f"{p}na") for i in range(3)})
+    a = [F.col(f"{p}a{i}") for i in range(3)]
+    one = one.withColumn(f"{p}along", a[0] * d[3] + a[1] * d[4] + a[2] * d[5])
+    one = one.withColumns({f"{p}e{i}": d[3 + i] - F.col(f"{p}along") * a[i] for i in range(3)})
+    e = [F.col(f"{p}e{i}") for i in range(3)]
+    one = one.withColumn(f"{p}nb", F.sqrt(e[0] * e[0] + e[1] * e[1] + e[2] * e[2]) + F.lit(1e-12))
+    one = one.withColumns({f"{p}b{i}": e[i] / F.col(f"{p}nb") for i in range(3)})
+    b = [F.col(f"{p}b{i}") for i in range(3)]
+    c = [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+    made = one.withColumns(named(prefix, [a[0], b[0], c[0], a[1], b[1], c[1], a[2], b[2], c[2]]))
+    return made.drop(*[x for x in made.columns if x.startswith(p)])
+
+
 def is_rotation(a: list[Column], atol: float = 1e-4, rtol: float = 1e-5) -> Column:
     """Orthonormal with determinant one, within the tolerances."""
     gram = matmul(a, transpose(a))

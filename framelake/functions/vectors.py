@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
+
 
 def dot(a: str, b: str) -> Column:
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> cast(x as double) * cast(y as double)), 0D, (s, x) -> s + x)")
@@ -63,21 +67,53 @@ def stretched(value: str, low: str, high: str) -> Column:
     return F.expr(f"least(greatest(({value} - {low}) / ({top} - {low}), 0D), 1D)")
 
 
+def exact_percentiles(rows: DataFrame, value: str, shares: list[float]) -> list[float | None]:
+    """The percentiles that percentile() gives, without one task that holds all distinct values.
+
+    Values are counted, dealt by range and sorted within partitions; the partitions' counts say in which one
+    a rank lies, and only that one is searched. The driver sees a count per partition and two values a
+    percentile. Null values don't count; without others the percentiles are null.
+    """
+    spark = rows.sparkSession
+    counts = session.written(rows.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = session.written(counts.repartitionByRange(parts, "v").withColumn("at", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["at"], r["n"]) for r in placed.groupBy("at").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    if not total:
+        return [None] * len(shares)
+    ranks = sorted({k for q in shares for k in (math.floor(q * (total - 1)), math.ceil(q * (total - 1)))})
+    asked, before = [], 0
+    for at, n in sizes:
+        asked += [(at, k, k - before) for k in ranks if before <= k < before + n]
+        before += n
+    wanted = F.broadcast(spark.createDataFrame(asked, "at int, rank long, local long"))
+    near = placed.join(wanted.select("at").distinct(), "at").withColumn("upto", F.expr("sum(n) over (partition by at order by v)"))
+    found = {r["rank"]: r["v"] for r in near.join(wanted, "at").where("local < upto and local >= upto - n").select("rank", "v").collect()}
+    out = []
+    for q in shares:
+        k = q * (total - 1)
+        low, high = found[math.floor(k)], found[math.ceil(k)]
+        out.append(low if low == high else (math.ceil(k) - k) * low + (k - math.floor(k)) * high)
+    return out
+
+
 def percentile_stretch(rows: DataFrame, values: list[str], low: float = 0.02, high: float = 0.98, by: list[str] | None = None) -> DataFrame:
     """Replaces each value by its stretch between two exact percentiles, over all rows or each group."""
-    cuts = [F.expr(f"percentile({v}, array({low}D, {high}D))").alias(f"stretch__{v}") for v in values]
     if by:
+        cuts = [F.expr(f"percentile({v}, array({low}D, {high}D))").alias(f"stretch__{v}") for v in values]
         joined = rows.join(rows.groupBy(*by).agg(*cuts), by)
-    else:
-        joined = rows.withColumn("stretch__all", rows.agg(F.struct(*cuts)).scalar()).select("*", "stretch__all.*").drop("stretch__all")
-    return joined.withColumns({v: stretched(v, f"stretch__{v}[0]", f"stretch__{v}[1]") for v in values}).drop(*[f"stretch__{v}" for v in values])
+        return joined.withColumns({v: stretched(v, f"stretch__{v}[0]", f"stretch__{v}[1]") for v in values}).drop(*[f"stretch__{v}" for v in values])
+    found = {v: exact_percentiles(rows, v, [low, high]) for v in values}
+    lit = lambda x: "cast(null as double)" if x is None else f"{x!r}D"
+    return rows.withColumns({v: stretched(v, lit(a), lit(b)) for v, (a, b) in found.items()})
 
 
-def pca_basis(rows: DataFrame, vector: str, k: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def pca_basis(rows: DataFrame, vector: str, k: int = 3, groups: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Mean and the first k principal directions (k x dim), from sums that each task makes over its rows.
 
-    Each task yields one row of 1 + d + d^2 sums, so the driver's share depends on tasks and width, not on
-    rows. The sign of a direction makes its largest entry positive.
+    Each task yields one row of 1 + d + d^2 sums; these are added up in `groups` groups, so the driver's share
+    depends on the width alone. The sign of a direction makes its largest entry positive.
     """
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,15 +127,16 @@ def pca_basis(rows: DataFrame, vector: str, k: int = 3) -> tuple[np.ndarray, np.
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([s.tolist()]), pa.array([g.ravel().tolist()])], ["n", "s", "g"])
 
-    got = rows.select(vector).mapInArrow(sums, "n long, s array<double>, g array<double>")
-    size = got.select(F.max(F.size("s"))).first()[0]
-    if size is None:
+    def added(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": [part["n"].sum()], "s": [np.add.reduce(part["s"].tolist()).tolist()], "g": [np.add.reduce(part["g"].tolist()).tolist()]})
+
+    kind = "n long, s array<double>, g array<double>"
+    made = rows.select(vector).mapInArrow(sums, kind).groupBy(F.spark_partition_id() % groups).applyInPandas(added, kind).collect()
+    if not made:
         raise ValueError("no vectors to learn a basis from")
-    n, s, g = 0, np.zeros(size), np.zeros(size * size)
-    for r in got.toLocalIterator():
-        n, s, g = n + r["n"], s + np.array(r["s"]), g + np.array(r["g"])
+    n, s, g = sum(r["n"] for r in made), np.add.reduce([r["s"] for r in made]), np.add.reduce([r["g"] for r in made])
     mean = s / n
-    _, vectors = np.linalg.eigh(g.reshape(size, size) - n * np.outer(mean, mean))
+    _, vectors = np.linalg.eigh(g.reshape(len(s), len(s)) - n * np.outer(mean, mean))
     basis = vectors[:, ::-1][:, :k].T
     return mean, np.array([v * np.sign(v[np.abs(v).argmax()]) for v in basis])
 

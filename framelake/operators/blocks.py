@@ -30,15 +30,16 @@ def plan_blocks(videos: DataFrame, total: str, size: int, overlap: int = 0) -> D
     )
 
 
-def assign_blocks(frames: DataFrame, row_pos: str, total: str, size: int, overlap: int = 0) -> DataFrame:
+def assign_blocks(frames: DataFrame, row_pos: str, total: str, size: int, overlap: int = 0, whole: str = "false") -> DataFrame:
     """Explodes each row into the blocks that read it, with `written` for the one that writes it.
 
-    The interval join of rows and blocks in closed form: no join, no shuffle.
+    The interval join of rows and blocks in closed form: no join, no shuffle. Videos for which the
+    condition `whole` holds are one block.
     """
     step = _checked(size, overlap)
     first = f"greatest(0L, cast(ceil(({row_pos} - {size - 1}) / {float(step)}D) as bigint))"
     last = f"least({row_pos} div {step}, {last_block(total, size, overlap)})"
-    made = frames.withColumn("block_id", F.expr(f"explode(sequence({first}, {last}))"))
+    made = frames.withColumn("block_id", F.expr(f"explode(if({whole}, array(0L), sequence({first}, {last})))"))
     return made.withColumn("written", F.expr(f"{row_pos} >= case when block_id = 0 then 0L else block_id * {step} + {overlap} end"))
 
 

@@ -47,6 +47,30 @@ def fit_affine(pixels: DataFrame, keys: list[str], source: str, target: str, min
     )
 
 
+def fit_arrays(rows: DataFrame, keys: list[str], source: str, target: str, min_points: int = 1024) -> DataFrame:
+    """fit_affine() where each row holds two arrays of as many pixels: a row is reduced to its count, means and
+    sums of products where it lies, so that pixels never are rows and only these numbers are shuffled."""
+    fine = " and ".join(f"p.{c} is not null and not isnan(p.{c}) and abs(p.{c}) < double('infinity') and p.{c} > {MIN_DEPTH}" for c in "xy")
+    good = rows.withColumn("fit__p", F.expr(f"filter(zip_with({source}, {target}, (x, y) -> named_struct('x', cast(x as double), 'y', cast(y as double))), p -> {fine})")).where("size(fit__p) > 0")
+    sums = good.withColumn("fit__n", F.expr("cast(size(fit__p) as bigint)"))
+    sums = sums.withColumns({f"fit__m{c}": F.expr(f"aggregate(fit__p, 0D, (s, p) -> s + p.{c}) / fit__n") for c in "xy"})
+    sums = sums.withColumns({f"fit__x{c}": F.expr(f"aggregate(fit__p, 0D, (s, p) -> s + (p.x - fit__mx) * (p.{c} - fit__m{c}))") for c in "xy"})
+    total = sums.groupBy(*keys).agg(
+        F.sum("fit__n").alias("n_valid"),
+        *[F.expr(f"sum(fit__n * fit__m{c}) / sum(fit__n)").alias(f"fit__{c}") for c in "xy"],
+        *[F.expr(f"sum(fit__x{c}) + sum(fit__n * fit__mx * fit__m{c}) - sum(fit__n * fit__mx) * sum(fit__n * fit__m{c}) / sum(fit__n)").alias(f"fit__sx{c}") for c in "xy"],
+    )
+    enough, flat = f"n_valid >= {min_points}", f"fit__sxx < {MIN_SPREAD}"
+    slope = total.withColumn("scale", F.expr(f"case when not {enough} then null when {flat} then 1D else fit__sxy / fit__sxx end"))
+    return slope.select(
+        *keys,
+        "scale",
+        F.expr(f"case when not {enough} then null when {flat} then greatest(0D, fit__y - fit__x) else fit__y - scale * fit__x end").alias("shift"),
+        "n_valid",
+        F.expr(f"case when not {enough} then 'too few valid pixels' when {flat} then 'shift only' else 'fitted' end").alias("status"),
+    )
+
+
 def require_fit(fits: DataFrame, min_points: int = 1024) -> DataFrame:
     """Raises when a group had too few valid pixels."""
     return fits.withColumn("scale", F.expr(f"if(scale is null, raise_error('fewer than {min_points} valid pixels'), scale)"))

@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keyframes(frames: DataFrame, video: str, frame: str, interval: int = 30, carried: str | None = None, force_last: bool = True) -> DataFrame:
-    """video, frame of the keyframes: the first row, then each one at least `interval` after the keyframe
+def keyframes(frames: DataFrame, video: str | list[str], frame: str, interval: int = 30, carried: str | None = None, force_last: bool = True) -> DataFrame:
+    """video (a column, or several), frame of the keyframes: the first row, then each one at least `interval` after the keyframe
     before it, and the last row. With a `carried` column (a keyframe before the rows, null for none) the
     first row is no keyframe unless it is far enough. The scan is a fold over the video's sorted frames.
     """
     have = F.expr(f"min({carried})").cast("bigint") if carried else F.lit(None).cast("bigint")
-    grouped = frames.groupBy(video).agg(F.array_sort(F.collect_set(F.col(frame).cast("bigint"))).alias("f"), have.alias("c"))
+    keys_of = [video] if isinstance(video, str) else video
+    grouped = frames.groupBy(*keys_of).agg(F.array_sort(F.collect_set(F.col(frame).cast("bigint"))).alias("f"), have.alias("c"))
     fold = (
         "aggregate(f, named_struct('last', c, 'k', cast(array() as array<bigint>)), "
         f"(s, x) -> case when s.last is null or x - s.last >= {interval} then named_struct('last', x, 'k', array_append(s.k, x)) else s end, s -> s.k)"
     )
     keys = f"array_union({fold}, array(element_at(f, -1)))" if force_last else fold
-    return grouped.select(video, F.explode(F.expr(keys)).alias(frame))
+    return grouped.select(*keys_of, F.explode(F.expr(keys)).alias(frame))
 
 
 def keyframes_pandas(frames: DataFrame, video: str, frame: str, interval: int = 30, force_last: bool = True) -> DataFrame:
@@ -41,7 +42,7 @@ def keyframes_pandas(frames: DataFrame, video: str, frame: str, interval: int =
 
 
 def interpolate(rows: DataFrame, video: str, x: str, values: list[str]) -> DataFrame:
-    """Fills nulls of `values` linearly over x between the nearest rows that have them; before the first
+    """Fills nulls of `values` linearly over x, within `video` (a column, or several by commas), between the nearest rows that have them; before the first
     and after the last such row the nearest value holds. Rows of a video without any stay null.
 
     x is the source index, or a row number where that is wanted.

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT = "s double, r array<double>, t array<double>, n bigint, kind string"
+FIT = "s double, r array<double>, t array<double>, m array<double>, n bigint, kind string"
 
 
 def nearest_rotation(m: np.ndarray) -> np.ndarray:
@@ -29,8 +29,20 @@ def similarity_from_sums(n: float, mean_s: np.ndarray, mean_d: np.ndarray, cov:
     return scale, rot, mean_d - scale * rot @ mean_s
 
 
+def robust(src: np.ndarray, dst: np.ndarray, src_rot: np.ndarray, dst_rot: np.ndarray, min_spread: float = 1e-4) -> tuple[float, np.ndarray, np.ndarray]:
+    """fit_similarity() of the centres and rotations of two arrays of poses."""
+    ms, md = src.mean(0), dst.mean(0)
+    spread = np.sqrt(((src - ms) ** 2).sum(1))
+    if len(src) >= 3 and spread.mean() >= min_spread:
+        scale, rot, move = similarity_from_sums(len(src), ms, md, (dst - md).T @ (src - ms) / len(src), float((spread**2).mean()))
+        if np.isfinite(scale) and scale > 0 and np.isfinite(rot).all():
+            return scale, rot, move
+    rot = nearest_rotation((dst_rot @ src_rot.transpose(0, 2, 1)).sum(0))
+    return 1.0, rot, md - rot @ ms
+
+
 def fit_similarity(points: DataFrame, keys: list[str], rotations: bool = False, min_spread: float = 1e-4) -> DataFrame:
-    """keys, s, r (nine numbers), t, n, kind of each group of point pairs sx, sy, sz -> dx, dy, dz.
+    """keys, s, r (nine numbers), t, m (mean source point), n, kind of each group of point pairs sx, sy, sz -> dx, dy, dz.
 
     Groups are reduced to a row of sums by Spark; only that row meets the 3 x 3 decomposition. Where the
     source points spread less than `min_spread`, are fewer than three, or the scale is not finite and
@@ -57,11 +69,11 @@ def fit_similarity(points: DataFrame, keys: list[str], rotations: bool = False,
                 cov = np.array([[row[f"c{i}{j}"] for j in range(3)] for i in range(3)])
                 scale, rot, t = similarity_from_sums(row["n"], ms, md, cov, row["var_s"])
                 if np.isfinite(scale) and scale > 0 and np.isfinite(rot).all():
-                    out.append((scale, rot.ravel().tolist(), t.tolist(), row["n"], "similarity"))
+                    out.append((scale, rot.ravel().tolist(), t.tolist(), ms.tolist(), row["n"], "similarity"))
                     continue
             rot = nearest_rotation(np.array([[row[f"q{i}{j}"] for j in range(3)] for i in range(3)])) if rotations else np.eye(3)
-            out.append((1.0, rot.ravel().tolist(), (md - rot @ ms).tolist(), row["n"], "rotation"))
-        return pd.DataFrame(out, columns=["s", "r", "t", "n", "kind"])
+            out.append((1.0, rot.ravel().tolist(), (md - rot @ ms).tolist(), ms.tolist(), row["n"], "rotation"))
+        return pd.DataFrame(out, columns=["s", "r", "t", "m", "n", "kind"])
 
     names = [c for c in reduced.columns if c not in keys]
     return reduced.select(*keys, solve(F.struct(*names)).alias("f")).select(*keys, "f.*")
@@ -69,12 +81,29 @@ def fit_similarity(points: DataFrame, keys: list[str], rotations: bool = False,
 
 def compose(fits: DataFrame, video: str, block: str) -> DataFrame:
     """Each block's transform into the first block's frame: g_k = g_(k-1) after f_k, folded over the video's
-    blocks in order. `fits` has s, r, t from block k to block k - 1; the first block's is the identity."""
+    blocks in order. `fits` has s, r, t from block k to block k - 1; the first block's is the identity.
+
+    With kind and m as fit_similarity() gives them, a block of kind `rotation` has scale 1 in the first
+    block's frame, whatever the scale before it, and its mean point goes where that of its partners is.
+    """
     ident = "named_struct('b', cast(null as bigint), 's', 1D, 'r', array(1D,0D,0D,0D,1D,0D,0D,0D,1D), 't', array(0D,0D,0D))"
-    rot = "array(" + ", ".join(" + ".join(f"a.r[{3 * i + k}] * x.r[{3 * k + j}]" for k in range(3)) for i in range(3) for j in range(3)) + ")"
-    move = "array(" + ", ".join("a.s * (" + " + ".join(f"a.r[{3 * i + k}] * x.t[{k}]" for k in range(3)) + f") + a.t[{i}]" for i in range(3)) + ")"
-    step = f"named_struct('b', x.b, 's', a.s * x.s, 'r', {rot}, 't', {move})"
-    listed = fits.groupBy(video).agg(F.array_sort(F.collect_list(F.struct(F.col(block).cast("bigint").alias("b"), "s", "r", "t"))).alias("fs"))
+    product = lambda a, b, n: "array(" + ", ".join(" + ".join(f"{a}[{3 * i + k}] * {b}[{n * k + j}]" for k in range(3)) for i in range(3) for j in range(n)) + ")"
+    plus = lambda a, b: f"zip_with({a}, {b}, (p, q) -> p + q)"
+    kinds = {"kind", "m"} <= set(fits.columns)
+    more = ["kind", "m"] if kinds else []
+    # target of the mean point (of the origin, where its transform is all there is), then the transform
+    met = plus("x.t", product("x.r", "x.m", 1)) if kinds else "x.t"
+    moved = plus(f"transform({product('a.r', 'y.met', 1)}, p -> a.s * p)", "a.t")
+    if kinds:
+        alone = "x.kind = 'rotation'"
+        back = f"transform({product('y.rot', 'x.m', 1)}, p -> -p * y.scale)"
+        scale, move = f"if({alone}, 1D, a.s * x.s)", plus("y.moved", back)
+        met = f"if({alone}, {met}, zip_with(x.t, {product('x.r', 'x.m', 1)}, (p, q) -> p + x.s * q))"
+    else:
+        scale, move = "a.s * x.s", "y.moved"
+    let = lambda name, value, then: f"element_at(transform(array({value}), {name} -> {then}), 1)"
+    step = let("y", f"named_struct('met', {met})", let("y", f"named_struct('moved', {moved}, 'rot', {product('a.r', 'x.r', 3)}, 'scale', {scale})", f"named_struct('b', x.b, 's', y.scale, 'r', y.rot, 't', {move})"))
+    listed = fits.groupBy(video).agg(F.array_sort(F.collect_list(F.struct(F.col(block).cast("bigint").alias("b"), "s", "r", "t", *more))).alias("fs"))
     fold = (
         f"aggregate(fs, named_struct('a', {ident}, 'out', cast(array() as array<struct<b:bigint,s:double,r:array<double>,t:array<double>>>)), "
         f"(acc, x) -> aggregate(array(acc.a), acc, (z, a) -> aggregate(array({step}), z, (y, g) -> named_struct('a', g, 'out', array_append(y.out, g)))), acc -> acc.out)"

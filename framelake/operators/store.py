@@ -7,6 +7,9 @@ overwritten video is never complete on old or partial data.
 
 from __future__ import annotations
 
+import secrets
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -41,7 +44,8 @@ class FeatureStore:
         rows.write.mode("append").parquet(f"{self.root}/commits")
 
     def _next_attempt(self) -> int:
-        return (self.commits().agg(F.max("attempt")).first()[0] or 0) + 1
+        """Above all that were committed, and another for every writer: the time, and chance below its resolution."""
+        return max((self.commits().agg(F.max("attempt")).first()[0] or 0) + 1, time.time_ns() // 1000 * 1000 + secrets.randbelow(1000))
 
     def write(self, branch: str, rows: DataFrame, *, block_id: int | None = None, reset: bool = True, complete: bool = True, representation: str | None = None) -> None:
         """Writes rows of one or many videos (video_id and the branch's fields) as one attempt.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import platform
+import subprocess
 from datetime import UTC, datetime
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +42,8 @@ def check_pose(rows: DataFrame, position: str) -> DataFrame:
     first = F.lit(True)
     for i, x in enumerate(rot.IDENTITY_POSE):
         first = first & (F.abs(F.col(f"p{i}") - x) <= 1e-3)
-    ok = rot.is_rotation(rot.from_6d([F.col(f"p{i}").cast("double") for i in range(3, 9)]))
+    rows = rot.with_matrix(rows, [F.col(f"p{i}").cast("double") for i in range(3, 9)], "m")
+    ok = rot.is_rotation(rot.cols("m"))
     return check(rows, "pose", "first is identity", "within 1e-3", F.expr(f"count_if({position} = 0)"), F.bool_and(F.when(F.col(position) == 0, first))).unionByName(check(rows, "pose", "rotations valid", "all", F.count_if(~ok), F.bool_and(ok)))
 
 
@@ -51,6 +55,21 @@ def close(a: str, b: str, atol: float = 1e-3, rtol: float = 1e-5) -> Column:
     return F.expr(f"bool_and(abs({a} - {b}) <= {atol}D + {rtol}D * abs({b}))")
 
 
+def check_determinism(first: DataFrame, second: DataFrame, branch: str, keys: list[str], value: str) -> DataFrame:
+    """Two runs give the same rows, value by value."""
+    a, b = first.select(*keys, F.col(value).alias("first")), second.select(*keys, F.col(value).alias("second"))
+    both = a.join(b, keys, "full_outer")
+    return check(both, branch, "deterministic", "no difference", F.count_if(~F.col("first").eqNullSafe(F.col("second"))), F.bool_and(F.col("first").eqNullSafe(F.col("second"))))
+
+
+def check_alignment(requested: DataFrame, stored: DataFrame, branch: str, frame: str = "frame_idx") -> DataFrame:
+    """A branch's stored frames are those that were asked for."""
+    a = requested.select(F.col(frame).alias("f"), F.lit(True).alias("asked")).distinct()
+    b = stored.select(F.col(frame).alias("f"), F.lit(True).alias("there")).distinct()
+    off = ~(F.col("asked").eqNullSafe(True) & F.col("there").eqNullSafe(True))
+    return check(a.join(b, "f", "full_outer"), branch, "frames aligned", "all", F.count_if(off), F.bool_and(~off))
+
+
 def failed_check(branch: str, name: str, error: Exception) -> tuple[str, str, str, str, bool]:
     """The row for a check that could not run."""
     return branch, name, "runs", f"{type(error).__name__}: {error}", False
@@ -92,8 +111,13 @@ def report(meta: dict[str, str], checks: DataFrame, perf: DataFrame, command: st
 
 
 def environment(**known: str) -> dict[str, str]:
-    """Date and versions, each `?` where it can't be had."""
-    out = {"date": datetime.now(UTC).date().isoformat()}
+    """Date, host, commit, GPU and versions, each `?` where it can't be had."""
+    out = {"date": datetime.now(UTC).date().isoformat(), "host": platform.node() or "?"}
+    for name, command in (("commit", ["git", "-C", str(Path(__file__).parent), "rev-parse", "--short", "HEAD"]), ("gpu", ["nvidia-smi", "--query-gpu=name", "--format=csv,noheader"])):
+        try:
+            out[name] = subprocess.run(command, capture_output=True, text=True, timeout=10, check=True).stdout.strip() or "?"
+        except (OSError, subprocess.SubprocessError):
+            out[name] = "?"
     for name in ("pyspark", "numpy", "pandas"):
         try:
             out[name] = __import__(name).__version__

@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import images
 from ..functions import rotation as rot
 from ..functions import vectors
-from ..operators import alignment, blocks, compare, depth, keyframes, lookup, sampling, similarity, store, validate
+from ..operators import alignment, blocks, compare, depth, extraction, keyframes, lookup, sampling, similarity, store, validate
 from ..session import new_path
 from ..sources import files
 from ..streaming import frames as streams
@@ -65,6 +66,24 @@ def source_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.first_by_path(paths, "path", 50, tie="page_id")
 
 
+@query("""
+    with e as (select ['mp4', 'avi', 'mkv', 'webm', 'mov', 'MP4', 'AVI', 'Mp4', 'txt'] as ext),
+    p as (select 'd' || n_regionkey || '/' || n_nationkey || '.' || ext[n_nationkey % 9 + 1] as path, n_nationkey % 9 as k, n_regionkey, n_nationkey, 3 * n_nationkey as length from nation, e)
+    select path, length, 'd' || n_regionkey || '_' || n_nationkey as video_id from p where k < 7 order by path
+""")
+def video_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Files below a folder whose names end as videos' do, by path; empty ones too."""
+    root, jvm = new_path(spark, "videos"), spark.sparkContext._jvm
+    endings = (*files.EXTENSIONS, "Mp4", "txt")
+    for r in table(spark, sf, "nation").select("n_regionkey", "n_nationkey").collect():  # 25 rows by definition
+        at = jvm.org.apache.hadoop.fs.Path(f"{root}/d{r['n_regionkey']}/{r['n_nationkey']}.{endings[r['n_nationkey'] % 9]}")
+        out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+        out.write(bytearray(3 * r["n_nationkey"]))
+        out.close()
+    found = files.find_videos(spark, root).select(F.expr("concat_ws('/', slice(split(path, '/'), -2, 2))").alias("path"), "length")
+    return found.withColumn("video_id", files.video_id("path"))
+
+
 @query("""
     with p as (select page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) || '.mp4' as path from pages),
     q as (select *, regexp_replace(split_part(path, '/', -1), '\\.[^.]*$', '') as stem, case when contains(path, '/') then split_part(path, '/', -2) else '' end as parent from p)
@@ -122,21 +141,23 @@ def pose_cap_linspace(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.linspace_positions(totals(spark, sf), "n", 16).select("user_id", "row_pos")
 
 
-@query("select event_id, case when event_id < 0 or event_id >= 7000 then 'out' else 'in' end as side from events")
+@query("select event_id, case when event_id < 0 or event_id >= (select count(*) * 7 // 10 from events) then 'out' else 'in' end as side from events")
 def range_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Requests that exist, and those that don't."""
-    rows = table(spark, sf, "events").select("event_id", F.lit(7000).alias("total"))
+    events = table(spark, sf, "events")
+    rows = events.select("event_id").withColumn("total", events.agg(F.expr("count(*) * 7 div 10")).scalar())
     inside, outside = sampling.in_range(rows, "event_id", "total"), sampling.out_of_range(rows, "event_id", "total")
     return inside.select("event_id", F.lit("in").alias("side")).unionByName(outside.select("event_id", F.lit("out").alias("side")))
 
 
 @query("""
-    with q as (select user_id, event_id, max(case when event_id >= 7000 then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) as bad from events)
+    with q as (select user_id, event_id, max(case when event_id >= (select count(*) * 7 // 10 from events) then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) as bad from events)
     select user_id, count(*) as n, max(event_id) as last_event from q where bad = 0 group by 1
 """)
 def stop_at_end(spark: SparkSession, sf: str) -> DataFrame:
     """Readers that stop at the first request beyond the end."""
-    rows = table(spark, sf, "events").select("user_id", "event_id", F.struct("ts", "event_id").alias("pos"), F.lit(7000).alias("total"))
+    events = table(spark, sf, "events")
+    rows = events.select("user_id", "event_id", F.struct("ts", "event_id").alias("pos")).withColumn("total", events.agg(F.expr("count(*) * 7 div 10")).scalar())
     return sampling.until_out_of_range(rows, "user_id", "pos", "event_id", "total").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
 
 
@@ -203,17 +224,17 @@ def keyframe_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    with recursive s as (select user_id, event_id, row_number() over (partition by user_id order by event_id) as i, max(event_id) over (partition by user_id) as top from events where event_id >= 4000),
+    with recursive s as (select user_id, event_id, -200 * (user_id % 7) as c, row_number() over (partition by user_id order by event_id) as i, max(event_id) over (partition by user_id) as top from events),
     r(user_id, i, f, last, is_key, top) as (
-        select user_id, i, event_id, case when event_id - 3800 >= 1000 then event_id else 3800 end, event_id - 3800 >= 1000, top from s where i = 1
+        select user_id, i, event_id, case when event_id - c >= 1000 then event_id else c end, event_id - c >= 1000, top from s where i = 1
         union all
         select s.user_id, s.i, s.event_id, case when s.event_id - r.last >= 1000 then s.event_id else r.last end, s.event_id - r.last >= 1000, s.top
         from r join s on s.user_id = r.user_id and s.i = r.i + 1
     ) select user_id, f as event_id from r where is_key or f = top
 """)
 def keyframe_segment(spark: SparkSession, sf: str) -> DataFrame:
-    """A segment whose last keyframe, 3800, is carried over."""
-    rows = frames(spark, sf).where("event_id >= 4000").withColumn("carried", F.lit(3800).cast("bigint"))
+    """A segment that carries a keyframe over from before its rows."""
+    rows = frames(spark, sf).withColumn("carried", F.expr("-200 * (user_id % 7)"))
     return keyframes.keyframes(rows, "user_id", "event_id", 1000, carried="carried")
 
 
@@ -279,6 +300,12 @@ def quantise_u16(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", depth.quantise("value / 400").alias("px"))
 
 
+@query("select event_id, cast(floor((least(greatest((value / 400)::float, 0::float), 1::float) * 65535::float)::float) as integer) as px from events")
+def quantise_floor(spark: SparkSession, sf: str) -> DataFrame:
+    """The stand-alone saver's truncated whole numbers."""
+    return table(spark, sf, "events").select("event_id", depth.quantise("value / 400", "floor").alias("px"))
+
+
 @query("""
     with q as (select least(greatest((value / 400)::float, 0::float), 1::float) as v from events), r as (select v, round_even((v * 65535::float)::float, 0)::float / 65535::float as back from q)
     select max(abs(v::double - back::double)) < 2 / 65535.0 as within, count(*) as n from r
@@ -382,11 +409,12 @@ def token_slice(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(t.selectExpr("vec_id", "cast(size(k) as bigint) as n", "cast(k[0] as double) as cls", "cast(k[1] as double) as next"), 6, "cls", "next")
 
 
-@query("select p_partkey, p_size * 16 // 16 as h, (p_size * 32 + 5) // 16 as w, (p_size * 16) % 16 = 0 and (p_size * 32 + 5) % 16 = 0 as native from part")
+@query("select p_partkey, p_size * 16 // 16 as h, (p_size * 32 + case when p_partkey % 2 = 0 then 0 else 5 end) // 16 as w, p_partkey % 2 = 0 as native from part")
 def patch_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Patch grids and whether the size needs no resizing."""
-    rows = table(spark, sf, "part").selectExpr("p_partkey", "p_size * 16 as height", "p_size * 32 + 5 as width")
-    return rows.withColumn("g", vectors.patch_grid("height", "width")).selectExpr("p_partkey", "g.h as h", "g.w as w", "height % 16 = 0 and width % 16 = 0 as native")
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "p_size * 16 as height", "p_size * 32 + if(p_partkey % 2 = 0, 0, 5) as width")
+    fits = F.expr("height % 16 = 0 and width % 16 = 0")
+    return rows.withColumn("g", vectors.patch_grid("height", "width")).select("p_partkey", "g.h", "g.w", F.when(fits, vectors.native_size("height", "width")).otherwise(False).alias("native"))
 
 
 @query("""
@@ -424,32 +452,34 @@ def model_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    select r.pos, r.f as frame_idx, e.label, round(e.embedding[1]::double, 6) as first from (select unnest([11, 1, 5, 5, 999999, 0, 10]) as f, generate_subscripts([11, 1, 5, 5, 999999, 0, 10], 1) - 1 as pos) r
-    join embeddings e on e.vec_id = r.f
+    with n as (select max(vec_id) as n from embeddings), r as (select vec_id as pos, (vec_id * 7 + 3) % (n.n + 20) as f from embeddings, n union all select vec_id, vec_id // 3 from embeddings)
+    select r.pos, r.f as frame_idx, e.label, round(e.embedding[1]::double, 6) as first from r join embeddings e on e.vec_id = r.f
 """)
 def requested_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in the order asked for, repeats kept, misses left out."""
-    request = lookup.numbered(spark.createDataFrame([([11, 1, 5, 5, 999999, 0, 10],)], "fs array<bigint>"), "fs")
-    stored = table(spark, sf, "embeddings").select(F.col("vec_id").alias("frame_idx"), "label", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
-    return lookup.requested_rows(request, stored, ["frame_idx"]).select("pos", "frame_idx", "label", "first")
+    e = table(spark, sf, "embeddings")
+    request = e.withColumn("n", e.agg(F.max("vec_id")).scalar()).select("vec_id", F.expr("array((vec_id * 7 + 3) % (n + 20), vec_id div 3)").alias("fs"))
+    stored = e.select(F.col("vec_id").alias("frame_idx"), "label", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+    asked = lookup.numbered(request, "fs", by="vec_id").select(F.col("vec_id").alias("pos"), "frame_idx")
+    return lookup.requested_rows(asked, stored, ["frame_idx"]).select("pos", "frame_idx", "label", "first")
 
 
-@query("select distinct a.user_id from events a join events b on a.user_id = b.user_id where a.event_type = 'click' and a.value > 150 and b.event_type = 'view' and b.value > 150")
+@query("select distinct a.user_id, a.event_id // 100 as part from events a join events b on a.user_id = b.user_id and a.event_id // 100 = b.event_id // 100 where a.event_type = 'click' and b.event_type = 'view'")
 def common_frames(spark: SparkSession, sf: str) -> DataFrame:
     """Keys that two stores share."""
-    e = table(spark, sf, "events").where("value > 150")
-    return lookup.common_frames(e.where("event_type = 'click'"), e.where("event_type = 'view'"), ["user_id"])
+    e = table(spark, sf, "events").withColumn("part", F.expr("event_id div 100"))
+    return lookup.common_frames(e.where("event_type = 'click'"), e.where("event_type = 'view'"), ["user_id", "part"])
 
 
 @query("""
-    with c as (select user_id, count(*) as clicks from events where event_type = 'click' and value > 150 group by 1), v as (select user_id, count(*) as views from events where event_type = 'view' and value > 150 group by 1)
-    select coalesce(c.user_id, v.user_id) as user_id, clicks, views from c full outer join v on c.user_id = v.user_id
+    with c as (select user_id, event_id // 100 as part, count(*) as clicks from events where event_type = 'click' group by 1, 2), v as (select user_id, event_id // 100 as part, count(*) as views from events where event_type = 'view' group by 1, 2)
+    select coalesce(c.user_id, v.user_id) as user_id, coalesce(c.part, v.part) as part, clicks, views from c full outer join v on c.user_id = v.user_id and c.part = v.part
 """)
 def read_all_outer(spark: SparkSession, sf: str) -> DataFrame:
     """Branches side by side."""
-    e = table(spark, sf, "events").where("value > 150")
-    one = lambda kind, name: e.where(F.col("event_type") == kind).groupBy("user_id").agg(F.count(F.lit(1)).alias(name))
-    return lookup.read_all([one("click", "clicks"), one("view", "views")], ["user_id"])
+    e = table(spark, sf, "events").withColumn("part", F.expr("event_id div 100"))
+    one = lambda kind, name: e.where(F.col("event_type") == kind).groupBy("user_id", "part").agg(F.count(F.lit(1)).alias(name))
+    return lookup.read_all([one("click", "clicks"), one("view", "views")], ["user_id", "part"])
 
 
 @query("""
@@ -467,24 +497,24 @@ def alignment_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    select distinct user_id from events where user_id not in (
-        select user_id from events where value > 100 and event_type in ('click', 'view', 'purchase') group by 1 having count(distinct event_type) = 3)
+    with l as (select user_id, event_type, arg_max(value > 50, event_id) as complete from events where event_type in ('click', 'view', 'purchase') group by 1, 2)
+    select distinct user_id from events where user_id not in (select user_id from l where complete group by 1 having count(*) = 3)
 """)
 def resume_todo(spark: SparkSession, sf: str) -> DataFrame:
-    """Videos of which a requested branch is not complete."""
+    """Videos of which a requested branch is not complete, by its latest attempt."""
     e = table(spark, sf, "events")
-    done = e.where("value > 100").select("user_id", F.col("event_type").alias("branch"), F.lit(True).alias("complete"), F.col("event_id").alias("attempt"))
+    done = e.select("user_id", F.col("event_type").alias("branch"), F.expr("value > 50").alias("complete"), F.col("event_id").alias("attempt"))
     return lookup.todo(e.select("user_id").distinct(), done, "user_id", ["click", "view", "purchase"])
 
 
 @query("""
-    select user_id, case min(case event_type when 'purchase' then 0 when 'click' then 1 else 2 end) when 0 then 'purchase' when 1 then 'click' else 'view' end as branch
-    from events where value > 150 and event_type in ('purchase', 'click', 'view') group by 1
+    select event_id // 3 as video, case min(case event_type when 'purchase' then 0 when 'click' then 1 else 2 end) when 0 then 'purchase' when 1 then 'click' else 'view' end as branch
+    from events where event_type in ('purchase', 'click', 'view') group by 1
 """)
 def primary_branch(spark: SparkSession, sf: str) -> DataFrame:
     """The first branch that a video has."""
-    rows = table(spark, sf, "events").where("value > 150").select("user_id", F.col("event_type").alias("branch"))
-    return lookup.primary_branch(rows, "user_id", "branch", ("purchase", "click", "view"))
+    rows = table(spark, sf, "events").select(F.expr("event_id div 3").alias("video"), F.col("event_type").alias("branch"))
+    return lookup.primary_branch(rows, "video", "branch", ("purchase", "click", "view"))
 
 
 @query("select user_id, event_type, count(*) as n_frames, min(event_id) as first_frame, max(event_id) as last_frame, max(event_id) - min(event_id) + 1 = count(*) as contiguous from events group by 1, 2")
@@ -595,13 +625,15 @@ def quat_products(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(q.select("vec_id", square[3].alias("w2"), square[0].alias("x2"), unit[3].alias("unit")), 6, "w2", "x2", "unit")
 
 
-@query(f"with {_R} select vec_id, case when vec_id % 3 = 0 then false else true end as valid from r")
+@query(f"""with {_R}, k as (select vec_id, 1 + (vec_id % 3) * 0.00004 as k, r0, r1, r2, r3, r4, r5, r6, r7, r8 from r)
+    select vec_id, abs(k * k * (r0 * r0 + r3 * r3 + r6 * r6) - 1) <= 1.1e-4 and abs(k * k * (r1 * r1 + r4 * r4 + r7 * r7) - 1) <= 1.1e-4 and abs(k * k * (r2 * r2 + r5 * r5 + r8 * r8) - 1) <= 1.1e-4
+        and abs(k * k * k * (r0 * (r4 * r8 - r5 * r7) - r1 * (r3 * r8 - r5 * r6) + r2 * (r3 * r7 - r4 * r6)) - 1) <= 1.1e-4 as valid from k""")
 def rot_valid(spark: SparkSession, sf: str) -> DataFrame:
-    """six numbers to matrices; every third is stretched and no rotation."""
-    r = _rotations(spark, sf)
-    m = rot.from_6d(rot.to_6d(rot.cols("r")))
-    k = F.when(F.col("vec_id") % 3 == 0, 2.0).otherwise(1.0)
-    return r.select("vec_id", rot.is_rotation([x * k for x in m]).alias("valid"))
+    """six numbers to matrices, stretched a little, a little more and too much."""
+    r = rot.with_matrix(_rotations(spark, sf), rot.to_6d(rot.cols("r")), "m")
+    k = F.lit(1.0) + (F.col("vec_id") % 3) * F.lit(0.00004)
+    stretched = r.select("vec_id", *[(x * k).alias(n) for n, x in rot.named("k", rot.cols("m")).items()])
+    return stretched.select("vec_id", rot.is_rotation(rot.cols("k")).alias("valid"))
 
 
 @query(f"""
@@ -718,8 +750,8 @@ def warm_up_window(spark: SparkSession, sf: str) -> DataFrame:
     union all select 'depth', 'min', '>= 0', cast(round(min(value), 6) as varchar), min(value) >= -1e-6 from events
     union all select 'depth', 'max', '<= 400', cast(round(max(value), 6) as varchar), max(value) <= 400 + 1e-6 from events
     union all select 'depth', 'not constant', 'std > 0', 'true', stddev_pop(value) > 0 from events
-    union all select 'dino', 'finite', 'all finite', '0', true
-    union all select 'dino', 'not constant', 'std > 0', 'true', true
+    union all select 'dino', 'finite', 'all finite', cast(count(*) filter (x is null or isnan(x)) as varchar), bool_and(x is not null and isfinite(x)) from (select unnest(embedding)::double as x from embeddings)
+    union all select 'dino', 'not constant', 'std > 0', cast(stddev_pop(x) > 0 as varchar), stddev_pop(x) > 0 from (select unnest(embedding)::double as x from embeddings)
 """)
 def sanity_report(spark: SparkSession, sf: str) -> DataFrame:
     """Invariants as rows."""
@@ -751,7 +783,7 @@ def probe_window(spark: SparkSession, sf: str) -> DataFrame:
     select c_custkey, c_name as video_path, 30.0::double as fps, 0::bigint as num_frames, c_mktsegment = 'BUILDING' as has_depth, false as has_pose, false as has_state, null::integer as state_dim from customer
 """)
 def annotation_stub(spark: SparkSession, sf: str) -> DataFrame:
-    """Annotation stubs, with claims from what is complete."""
+    """K9: annotation stubs, with claims from what is complete."""
     c = table(spark, sf, "customer")
     videos = c.select(F.col("c_custkey").cast("string").alias("video_id"), F.col("c_name").alias("path"), F.lit(0).alias("n_frames"))
     done = c.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("video_id"), F.lit("depth").alias("branch"), F.lit(True).alias("complete"))
@@ -777,7 +809,7 @@ def store_tokens(spark: SparkSession, sf: str) -> DataFrame:
     select cast(label as varchar) as video_id, vec_id as frame_idx, cast(round_even((least(greatest(embedding[1], 0::float), 1::float) * 65535::float)::float, 0) as integer) as px from embeddings
 """)
 def store_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """K2, K6, K7, K8: depth appended in two blocks, the second one twice; a repeated block counts once."""
+    """K2, K6, K7: depth appended in two blocks, the second one twice; a repeated block counts once."""
     kept = _store(spark)
     rows = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "1 as height", "1 as width", "slice(embedding, 1, 1) as depth")
     half = rows.agg(F.expr("percentile_approx(frame_idx, 0.5)")).first()[0] or 0
@@ -814,6 +846,233 @@ def stream_depth(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_drain(aligned, "user_id bigint, event_id bigint, raw double").withColumnRenamed("raw", "v"), 4, "v")
 
 
+# --- extraction ------------------------------------------------------------------------------------
+
+
+def _videos(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of a video per label: 16 pixels from the first numbers of each vector, saturated where these are large."""
+    pixels = "transform(slice(embedding, 1, 16), x -> least(255D, cast(cast(x as double) * 100 + 30 as double)))"
+    e = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", f"transform({pixels}, x -> greatest(x, 0D)) as pixels")
+    return sampling.with_positions(e.withColumn("grey", F.expr("aggregate(pixels, 0D, (s, x) -> s + x) / 16")), "video_id", "frame_idx")
+
+
+_PIXELS = "v as (select cast(label as varchar) as video_id, vec_id as frame_idx, list_transform(embedding[1:16], lambda x: greatest(least(255.0::double, x::double * 100 + 30), 0.0::double)) as px from embeddings)"
+
+
+@query(f"""
+    with {_PIXELS}, z as (select video_id, frame_idx, list_transform(px, lambda p: (1 / least(greatest(3 * (p / 255 + 1), 0.1), 100) - 0.01) / (10 - 0.01 + 1e-8)) as d from v)
+    select video_id, frame_idx, round(list_avg(d), 5) as mean, round(d[1], 5) as first, round(d[16], 5) as last from z
+""")
+def extract_depth_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Depths of blocks in units of their own, stitched and made metric at keyframes: what the metric
+    model says of every frame."""
+    b = blocks.assign_blocks(_videos(spark, sf), "row_pos", "n_frames", 16, 6)
+    rows, _ = extraction.depth_windows(b, "video_depth_anything", interval=30, min_points=4)
+    return rounded(rows.selectExpr("video_id", "frame_idx", "aggregate(depth, 0D, (s, x) -> s + x) / size(depth) as mean", "depth[0] as first", "depth[15] as last"), 5, "mean", "first", "last")
+
+
+@query("""
+    with v as (select cast(label as varchar) as video_id, vec_id as i, min(vec_id) over (partition by label) as i0 from embeddings),
+    a as (select *, 0.15 * i as a, 0.15 * (i0 - i) as d, 1 + 0.1::double * (i0 % 5) as k, cos(0.15 * i0) - cos(0.15 * i) as x, sin(0.15 * i0) - sin(0.15 * i) as y, 0.1::double * (i0 - i) as z from v)
+    select video_id, i as frame_idx, round(k * (cos(a) * x + sin(a) * y), 4) + 0 as p0, round(k * (cos(a) * y - sin(a) * x), 4) + 0 as p1, round(k * z, 4) + 0 as p2,
+        round(cos(d), 4) + 0 as p3, round(sin(d), 4) + 0 as p4, round(-sin(d), 4) + 0 as p6, round(cos(d), 4) + 0 as p7 from a
+""")
+def extract_pose_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Poses of windows that each have a world of their own, stitched: the helix on which the cameras
+    are, seen from the first one."""
+    b = blocks.assign_blocks(_videos(spark, sf), "row_pos", "n_frames", 16, 5)
+    rows, _ = extraction.pose_windows(b)
+    return rows.select("video_id", "frame_idx", *[(F.round(F.col("pose")[i], 4) + F.lit(0.0)).alias(f"p{i}") for i in (0, 1, 2, 3, 4, 6, 7)])
+
+
+@query(f"""
+    with {_PIXELS} select video_id, case when max(list_max(px)) >= 255 then 'failed' else 'ok' end as status, case when max(list_max(px)) >= 255 then 'depth' end as branch, case when max(list_max(px)) >= 255 then 'ValueError: saturated' end as error from v group by 1
+""")
+def extract_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """A model that fails on some videos; the others go on, and each says how it went."""
+    v = _videos(spark, sf).withColumns({"block_id": F.lit(0), "written": F.lit(True)})
+    failed = extraction.extract(v, ["dino", "depth", "pose"], lambda branch, rows: None, depth_mode="brittle")
+    out = v.select("video_id").distinct().join(failed, "video_id", "left")
+    return out.select("video_id", F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"), "branch", "error")
+
+
+@query("select cast(label as varchar) as video_id, vec_id as frame_idx, 4 as width, round(list_avg(list_transform(embedding[1:16], lambda x: greatest(least(255.0::double, x::double * 100 + 30), 0.0::double)))::float::double, 5) as v from embeddings")
+def stream_dino(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of a stream of frames, flushed to the store batch by batch."""
+    path = new_path(spark, "frames")
+    v = _videos(spark, sf).select("video_id", "frame_idx", "grey", "pixels")
+    v.write.parquet(path)
+    kept = _store(spark)
+    run = streams.dino_stream(spark.readStream.schema(v.schema).parquet(path), kept, checkpoint=f"{path}-state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return kept.read("dino").selectExpr("video_id", "frame_idx", "size(vec) as width", "round(cast(vec[0] as double), 5) as v")
+
+
+_POSE_PAIRS = f"""{_R}, n as (select max(vec_id) + 1 as n from embeddings), p as (select a.vec_id, {", ".join(f"a.{c} as a{i}, b.{c} as b{i}" for i, c in enumerate(("tx", "ty", "tz", "r0", "r3", "r6", "r1", "r4", "r7")))},
+    {" + ".join(f"a.r{i} * b.r{i}" for i in range(9))} as trace from r a, n join r b on b.vec_id = (a.vec_id + 7) % n.n)""".replace("n as (select *, sqrt(", "norms as (select *, sqrt(").replace("z, d / m as w from n)", "z, d / m as w from norms)")
+
+
+@query(f"""with {_POSE_PAIRS} select vec_id, round(({" + ".join(f"abs(a{i} - b{i})" for i in range(9))}) / 9, 6) as mean_abs, round(greatest({", ".join(f"abs(a{i} - b{i})" for i in range(9))}), 6) as max_abs,
+    cast(floor(least(greatest((trace - 1) / 2, -1), 1) * 20) as bigint) as twentieths from p""")
+def compare_pose(spark: SparkSession, sf: str) -> DataFrame:
+    """Differences and angles of pairs of poses."""
+    r = _rotations(spark, sf)
+    p = r.select("vec_id", *[x.alias(n) for n, x in rot.named("a", rot.pose9([F.col(f"t{x}") for x in "xyz"], rot.cols("r"))).items()])
+    other = p.select(F.col("vec_id").alias("o"), *[F.col(f"a{i}").alias(f"b{i}") for i in range(9)])
+    pairs = p.withColumn("n", r.agg(F.max("vec_id") + 1).scalar()).join(other, F.expr("(vec_id + 7) % n = o"))
+    # the angle by its cosine in steps: near a half turn it tells rotations apart that differ by rounding
+    out = compare.pose_frames(pairs, ["vec_id"]).withColumn("twentieths", F.floor(F.cos(F.radians("angle_deg")) * 20)).drop("angle_deg")
+    return rounded(out, 6, "mean_abs", "max_abs")
+
+
+@query(f"""with {_FIRST}, p as (select label, row_number() over (partition by label order by vec_id) - 1 as pos, g0, g1, g3, g4, g6, g7 from g)
+    select 'pose' as branch, 'first is identity' as name, 'within 1e-3' as expected, cast(count(*) filter (pos = 0) as varchar) as observed, bool_and(pos > 0 or abs(g0 - 1) <= 1e-3 and abs(g3) <= 1e-3 and abs(g6) <= 1e-3 and abs(g1) <= 1e-3 and abs(g4 - 1) <= 1e-3 and abs(g7) <= 1e-3) as passed from p
+    union all select 'pose', 'rotations valid', 'all', cast(count(*) filter (not (abs(g0 * g0 + g3 * g3 + g6 * g6 - 1) <= 1e-4 and abs(g0 * g1 + g3 * g4 + g6 * g7) <= 1e-4)) as varchar), bool_and(abs(g0 * g0 + g3 * g3 + g6 * g6 - 1) <= 1e-4 and abs(g0 * g1 + g3 * g4 + g6 * g7) <= 1e-4) from p
+""")
+def pose_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """The first pose of each video is the identity, and all rotations are valid."""
+    cs = ("tx", "ty", "tz", *[f"r{i}" for i in range(9)])
+    f = _rotations(spark, sf).withColumns({f"f_{c}": F.expr(f"first_value({c}) over (partition by label order by vec_id)") for c in cs}).withColumn("pos", F.expr("row_number() over (partition by label order by vec_id) - 1"))
+    g, t = rot.relative_pose(rot.cols("r"), [F.col(f"t{x}") for x in "xyz"], rot.cols("f_r"), [F.col(f"f_t{x}") for x in "xyz"])
+    return validate.check_pose(f.select("pos", *[x.alias(n) for n, x in rot.named("p", rot.pose9(t, g)).items()]), "pos")
+
+
+@query("select 'dino' as branch, 'deterministic' as name, 'no difference' as expected, '0' as observed, count(*) > 0 as passed from embeddings union all select 'dino', 'frames aligned', 'all', '0', count(*) > 0 from embeddings")
+def determinism(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over the same frames, dealt otherwise, give the same; what is stored is what was asked for."""
+    v = _videos(spark, sf).withColumn("written", F.lit(True))
+    first, _ = extraction.dino(v)
+    second, _ = extraction.dino(v.repartition(3))
+    same = validate.check_determinism(first, second, "dino", ["video_id", "frame_idx"], "vec")
+    return same.unionByName(validate.check_alignment(v, first, "dino"))
+
+
+@query("""
+    with x as (select generate_subscripts(embedding, 1) as i, unnest(embedding)::double as x from embeddings), s as (select i, var_pop(x) as s, avg(x) as m from x group by 1)
+    select count(*) as n, round(sum(s), 4) as total_variance, round(max(m), 6) as largest_mean from s
+""")
+def pca_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Along all principal directions the variances add up to those of the coordinates; the mean is their mean."""
+    e = table(spark, sf, "embeddings").select("embedding")
+    mean, basis = vectors.pca_basis(e, "embedding", 64)
+    names = [f"c{i}" for i in range(len(basis))]
+    out = vectors.project(e, "embedding", mean, basis, names).agg(F.lit(len(names)).cast("bigint").alias("n"), sum((F.var_pop(n) for n in names[1:]), F.var_pop(names[0])).alias("total_variance"), F.lit(float(mean.max())).alias("largest_mean"))
+    return rounded(rounded(out, 4, "total_variance"), 6, "largest_mean")
+
+
+@query("select cast(label as varchar) as video_id, vec_id as frame_idx, 64 as width, vec_id % 2 = 0 as has_depth, vec_id % 3 = 0 as has_pose from embeddings")
+def store_episode(spark: SparkSession, sf: str) -> DataFrame:
+    """Three branches written one after the other, read side by side; some frames lack depth or pose."""
+    e = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "embedding")
+    kept = _store(spark)
+    kept.write_episode(
+        e.selectExpr("video_id", "frame_idx", "0 as token_idx", "embedding as vec"),
+        e.where("frame_idx % 2 = 0").selectExpr("video_id", "frame_idx", "1 as height", "2 as width", "transform(slice(embedding, 1, 2), x -> abs(x)) as depth"),
+        e.where("frame_idx % 3 = 0").selectExpr("video_id", "frame_idx", "slice(embedding, 1, 9) as pose"),
+    )
+    return kept.read_all().selectExpr("video_id", "frame_idx", "size(dino[0]) as width", "depth is not null as has_depth", "pose is not null as has_pose")
+
+
+@query("""
+    select cast(label as varchar) as video_id, 'dino' as branch, case vec_id % 2 when 0 then 'left' else 'right' end as camera_key, count(*) as n from embeddings group by all
+    union all select cast(label as varchar), 'depth', 'left', count(*) from embeddings where vec_id % 2 = 0 group by all
+""")
+def store_cameras(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: tokens and depth of several cameras beside each other."""
+    e = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "vec_id as frame_idx", "embedding", "if(vec_id % 2 = 0, 'left', 'right') as camera_key")
+    kept = _store(spark)
+    kept.write("dino", e.selectExpr("video_id", "frame_idx", "camera_key", "0 as token_idx", "embedding as vec"))
+    kept.write("depth", e.where("camera_key = 'left'").selectExpr("video_id", "frame_idx", "camera_key", "1 as height", "1 as width", "slice(embedding, 1, 1) as depth"))
+    count = lambda b: kept.read(b).groupBy("video_id", F.lit(b).alias("branch"), "camera_key").agg(F.count(F.lit(1)).alias("n"))
+    return count("dino").unionByName(count("depth"))
+
+
+@query("select cast(label as varchar) as video_id, 'depth' as branch, label % 2 = 0 as complete from embeddings group by label union all select 'nothing', 'depth', true")
+def store_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """K7, K8: appended blocks are not complete until marked; a video without data gets the mark alone."""
+    e = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "label", "vec_id as frame_idx", "1 as height", "1 as width", "slice(embedding, 1, 1) as depth")
+    kept = _store(spark)
+    kept.write("depth", e.drop("label"), block_id=0, reset=True, complete=False)
+    even = [r["video_id"] for r in e.where("label % 2 = 0").select("video_id").distinct().collect()]
+    kept.mark_complete("depth", [*even, "nothing"])
+    return kept.completion().select("video_id", "branch", "complete")
+
+
+@query("select cast(c_custkey as varchar) as video_id, case when c_mktsegment = 'BUILDING' then 1 else 2 end as num_frames, c_mktsegment = 'BUILDING' as has_depth from customer")
+def annotation_skip(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotations are written for videos that have none."""
+    path = new_path(spark, "annotations")
+    c = table(spark, sf, "customer")
+    videos = c.select(F.col("c_custkey").cast("string").alias("video_id"), F.col("c_name").alias("path"), "c_mktsegment")
+    done = videos.where("c_mktsegment = 'BUILDING'").select("video_id", F.lit("depth").alias("branch"), F.lit(True).alias("complete"))
+    store.write_annotations(store.annotations(videos.where("c_mktsegment = 'BUILDING'").withColumn("n_frames", F.lit(1)), done), path)
+    store.write_annotations(store.annotations(videos.withColumn("n_frames", F.lit(2)), done), path)
+    return spark.read.schema("video_id string, num_frames int, has_depth boolean").json(path)
+
+
+@query("select 'depth' as branch, 0 as pos union all select 'dino', 1")
+def branch_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Branches of a comma list."""
+    return spark.createDataFrame([(b, i) for i, b in enumerate(sampling.parse_branches(" depth, ,dino,"))], "branch string, pos int")
+
+
+@query("select p_partkey, p_size as side from part")
+def patch_sides(spark: SparkSession, sf: str) -> DataFrame:
+    """The side of the square that patches form beside token 0."""
+    return table(spark, sf, "part").selectExpr("p_partkey", "p_size * p_size + 1 as n").select("p_partkey", vectors.patch_side("n").alias("side"))
+
+
+@query("select cast(label as varchar) as video_id, vec_id as frame_idx, label % 2 = 0 as primary_dino from embeddings")
+def frame_indices(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of a branch, and of the first branch that a video has."""
+    e = table(spark, sf, "embeddings").selectExpr("cast(label as string) as video_id", "label", "vec_id as frame_idx", "embedding")
+    kept = _store(spark)
+    kept.write("dino", e.where("label % 2 = 0").selectExpr("video_id", "frame_idx", "0 as token_idx", "embedding as vec"))
+    kept.write("pose", e.selectExpr("video_id", "frame_idx", "slice(embedding, 1, 9) as pose"))
+    own = kept.frame_indices("dino").withColumn("primary_dino", F.lit(True))
+    return kept.primary_frame_indices().join(own, ["video_id", "frame_idx"], "left").select("video_id", "frame_idx", F.coalesce("primary_dino", F.lit(False)).alias("primary_dino"))
+
+
+@query("select 'gradient' as video_id, f as frame_idx, x as col, cast(floor(x * 255 / 31.0::double) as integer) as v from range(8) t(f), range(32) u(x)")
+def synthetic_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames that go from dark to bright along every row."""
+    return files.gradient_frames(spark, 8, 32, 8).select("video_id", "frame_idx", F.posexplode("row").alias("col", "v")).selectExpr("video_id", "frame_idx", "cast(col as bigint) as col", "cast(v as int) as v")
+
+
+_FILES = "f as (select '/models/' || lpad(cast(p_partkey as varchar), 8, '0') || case p_partkey % 3 when 0 then '/model.pt' when 1 then '/model.safetensors' else '/notes.txt' end as path, p_size * 3000000 as length from part)"
+
+
+@query(f"with {_FILES} select max(path) filter (path like '%/model.safetensors') as checkpoint, arg_max(path, length::bigint * 1000000 + cast(substr(path, 9, 8) as bigint)) filter (length > 104857600) as largest from f")
+def checkpoint_pick(spark: SparkSession, sf: str) -> DataFrame:
+    """S21 and the largest file: the last checkpoint of the preferred name, and the largest file above 100 MiB."""
+    f = table(spark, sf, "part").selectExpr("concat('/models/', lpad(cast(p_partkey as string), 8, '0'), case p_partkey % 3 when 0 then '/model.pt' when 1 then '/model.safetensors' else '/notes.txt' end) as path", "p_partkey", "p_size * 3000000L as length")
+    # lengths without ties
+    lengths = f.selectExpr("path", "if(length > 104857600, length * 1000000 + p_partkey, 0L) as length")
+    return spark.createDataFrame([(files.find_checkpoint(f), files.largest_file(lengths))], "checkpoint string, largest string")
+
+
+@query(f"with {_R} select vec_id, round(-2 * ty + 1, 6) as cx, round(2 * tx - 2, 6) as cy, round(2 * tz + 3, 6) as cz, {', '.join(f'round({e}, 6) + 0 as r{i}' for i, e in enumerate(('-r3', '-r4', '-r5', 'r0', 'r1', 'r2', 'r6', 'r7', 'r8')))} from r")
+def apply_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """centres and rotations moved by a similarity: scale 2, a quarter turn, a move."""
+    r = _rotations(spark, sf).withColumnsRenamed({"tx": "cx", "ty": "cy", "tz": "cz"})
+    moved = similarity.apply_similarity(r.selectExpr("*", "2D as s", "array(0D, -1D, 0D, 1D, 0D, 0D, 0D, 0D, 1D) as fr", "array(1D, -2D, 3D) as ft"))
+    return rounded(moved, 6, "cx", "cy", "cz").select("vec_id", "cx", "cy", "cz", *[(F.round(F.col(f"r{i}"), 6) + F.lit(0.0)).alias(f"r{i}") for i in range(9)])
+
+
+@query("select vec_id, i - 1 as pos, case when i in (4, 8) then 1.0::double else 0.0::double end as v from embeddings, range(1, 10) t(i)")
+def identity_poses(spark: SparkSession, sf: str) -> DataFrame:
+    """the pose of frames that no model has seen."""
+    return table(spark, sf, "embeddings").select("vec_id", F.posexplode(rot.identity_pose()).alias("pos", "v")).selectExpr("vec_id", "cast(pos as bigint) as pos", "cast(v as double) as v")
+
+
+@query("select branch, name, expected, observed, passed from (values ('depth', 'runs', 'runs', 'ValueError: no frames', false)) t(branch, name, expected, observed, passed) union all select 'depth', 'max', '<= 400', cast(round(max(value), 6) as varchar), max(value) <= 400 + 1e-6 from events")
+def failed_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """A check that could not run is a failed row beside the others."""
+    row = spark.createDataFrame([validate.failed_check("depth", "runs", ValueError("no frames"))], schema.CHECKS)
+    good = validate.check_values(table(spark, sf, "events"), "depth", "value", 0, 400).where("name = 'max'")
+    return row.unionByName(good)
+
+
 def _drain(stream: DataFrame, schema: str) -> DataFrame:
     """Runs a stream over what is there, into a folder that driver and executors share."""
     spark = stream.sparkSession

@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..operators import blocks
+
 
 class Reader(Protocol):
     def __len__(self) -> int: ...
@@ -103,33 +105,61 @@ def open_video(path: str, openers: tuple[Opener, ...] = (DecordReader, PyAVReade
     raise ValueError("no readers")
 
 
-def read_frames(requests: DataFrame, openers: tuple[Opener, ...] = (DecordReader, PyAVReader)) -> DataFrame:
-    """Frames of requests (path, video_id, frame_idx): height, width, rgb bytes, grey mean, error.
+def grid(image: np.ndarray, side: int = 8) -> list[float]:
+    """Means of side x side cells, row by row; the image's last rows and columns that fill no cell are left out,
+    a smaller image counts each pixel as often as it takes."""
+    h, w = image.shape[:2]
+    grey = image.reshape(h, w, -1).mean(2)
+    if h < side or w < side:
+        grey = grey[np.arange(side) * h // side][:, np.arange(side) * w // side]
+        h = w = side
+    return grey[: h // side * side, : w // side * side].reshape(side, h // side, side, w // side).mean((1, 3)).ravel().tolist()
+
+
+FRAME = "height int, width int, pixels array<double>, grey double, error string"
+
 
-    Requests of a path are sorted inside their partition so that decoding goes forward once; partition by
-    path first. A frame or file that can't be read is a row with its error, and the rest go on.
+def read_frames(requests: DataFrame, openers: tuple[Opener, ...] = (DecordReader, PyAVReader), keep: list[str] | None = None, by: list[str] | None = None, rgb: bool = False) -> DataFrame:
+    """Frames of requests (path, video_id, frame_idx): height, width, pixels (a grid of means), grey mean, error,
+    with `rgb` also the bytes. Columns `keep` of the requests come along.
+
+    Requests that agree in `by` (the path, if not told) are decoded by one task, in order of the frames, so
+    that decoding goes forward once. A frame or file that can't be read is a row with its error, and the
+    rest go on.
     """
+    keep, by = keep or [], by or ["path"]
+    names = ["video_id", "frame_idx", *keep]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path, reader, failed = None, None, None
         for b in batches:
             rows = []
-            for r in b.itertuples(index=False):
-                if r.path != path:
-                    path, reader, failed = r.path, None, None
+            for i, (at, frame) in enumerate(zip(b["path"], b["frame_idx"], strict=True)):
+                if at != path:
+                    path, reader, failed = at, None, None
                     try:
                         reader = open_video(path, openers)
                     except Exception as e:
                         failed = f"{type(e).__name__}: {e}"
-                if reader is None:
-                    rows.append((r.video_id, r.frame_idx, None, None, None, None, failed))
-                    continue
-                try:
-                    x = reader[int(r.frame_idx)]
-                    rows.append((r.video_id, r.frame_idx, x.shape[0], x.shape[1], x.tobytes(), float(x.mean()), None))
-                except Exception as e:
-                    rows.append((r.video_id, r.frame_idx, None, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["video_id", "frame_idx", "height", "width", "rgb", "grey", "error"]).astype({"height": "Int32", "width": "Int32"})
-
-    by_path = requests.select("path", "video_id", "frame_idx").repartition("path").sortWithinPartitions("path", "frame_idx")
-    return by_path.mapInPandas(scan, "video_id string, frame_idx bigint, height int, width int, rgb binary, grey double, error string")
+                got = (None, None, None, None, failed, None)
+                if reader is not None:
+                    try:
+                        x = reader[int(frame)]
+                        got = (x.shape[0], x.shape[1], grid(x), float(x.mean()), None, x.tobytes() if rgb else None)
+                    except Exception as e:
+                        got = (None, None, None, None, f"{type(e).__name__}: {e}", None)
+                rows.append(got)
+            made = pd.DataFrame(rows, columns=["height", "width", "pixels", "grey", "error", "rgb"]).astype({"height": "Int32", "width": "Int32"})
+            yield pd.concat([b[names].reset_index(drop=True), made], axis=1)[[*names, *[f.split()[0] for f in kind.split(", ")]]]
+
+    kind = FRAME + (", rgb binary" if rgb else "")
+    of = dict(requests.dtypes)
+    near = requests.select("path", *names).repartition(*by).sortWithinPartitions(*dict.fromkeys(["path", *by]), "frame_idx")
+    return near.mapInPandas(scan, ", ".join([*[f"{n} {of[n]}" for n in names], kind]))
+
+
+def read_blocks(requests: DataFrame, size: int, overlap: int = 0, openers: tuple[Opener, ...] = (DecordReader, PyAVReader), whole: str = "false") -> DataFrame:
+    """Frames block by block: requests (path, video_id, frame_idx, row_pos, n_frames) go to the blocks that read
+    them, with block_id and written, and each block is decoded by itself, so a long video by many tasks."""
+    assigned = blocks.assign_blocks(requests, "row_pos", "n_frames", size, overlap, whole)
+    return read_frames(assigned, openers, ["row_pos", "n_frames", "block_id", "written"], ["path", "block_id"])

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framelake import cli, models
-from framelake.operators import blocks, sampling, store
+from framelake import cli, models, session
+from framelake.functions import vectors
+from framelake.operators import blocks, sampling, similarity, store
 from framelake.sources import video
 
 
@@ -117,9 +120,9 @@ def test_isolated(spark):
 def test_command_line(spark, tmp_path, monkeypatch):
     (tmp_path / "in" / "ep").mkdir(parents=True)
     ramp(tmp_path / "in" / "ep" / "a.mp4")
-    args = ["file://" + str(tmp_path / "in"), "file://" + str(tmp_path / "out"), "--frames-per-video", "6", "--annotation-dir", "file://" + str(tmp_path / "notes")]
+    args = ["--data_root", "file://" + str(tmp_path / "in"), "--output-root", "file://" + str(tmp_path / "out"), "--frames-per-video", "6", "--annotation-dir", "file://" + str(tmp_path / "notes"), "--min-points", "1"]
     a = cli.parser().parse_args(args)
-    assert [tuple(r) for r in cli.extract(spark, a, (video.RawReader,)).collect()] == [("ep_a", "ok", None)]
+    assert [tuple(r) for r in cli.extract(spark, a, (video.RawReader,)).collect()] == [("ep_a", "ok", None, None)]
     kept = store.FeatureStore(spark, a.output_root)
     assert [r["frame_idx"] for r in kept.frame_indices("pose").orderBy("frame_idx").collect()] == [0, 2, 4, 6, 8, 10]
     again = cli.parser().parse_args([*args, "--resume"])
@@ -128,5 +131,77 @@ def test_command_line(spark, tmp_path, monkeypatch):
     status = {r["video_id"]: r["status"] for r in cli.extract(spark, again, (video.RawReader,)).collect()}
     assert status == {"ep_b": "failed"}
     with pytest.raises(FileNotFoundError):
-        cli.extract(spark, cli.parser().parse_args([str(tmp_path / "notes"), "x"]))
+        cli.extract(spark, cli.parser().parse_args(["--data_root", str(tmp_path / "notes"), "--output_root", "x"]))
     assert sampling.parse_branches(a.branches) == ["dino", "depth", "pose"]
+
+
+def test_command_line_streams_long_videos_and_goes_on_after_failures(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    rng = np.random.default_rng(3)
+    for name, n, high in (("long", 40, 200), ("short", 5, 200), ("bright", 30, 256)):
+        body = rng.integers(0, high, (n, 48, 64)).astype(np.uint8)
+        if name == "bright":
+            body[:, :8, :8] = 255
+        (tmp_path / "in" / f"{name}.mp4").write_bytes(b"64 48 %d 10\n" % n + body.tobytes())
+
+    def run(out, *more):
+        base = ["--data_root", f"file://{tmp_path}/in", "--output_root", f"file://{tmp_path}/{out}", "--frames_per_video", "0", "--block_size", "16", "--depth_overlap", "4", "--pose_window", "12", "--pose_overlap", "4", "--min_points", "8", "--id_from_stem"]
+        a = cli.parser().parse_args([*base, *more])
+        return {r["video_id"]: tuple(r)[1:] for r in cli.extract(spark, a, (video.RawReader,)).collect()}, store.FeatureStore(spark, a.output_root)
+
+    status, blocked = run("blocks", "--stream_threshold", "10")
+    assert status == {v: ("ok", None, None) for v in ("long", "short", "bright")}
+    status, whole = run("whole", "--stream_threshold", "1000", "--depth_mode", "vda")
+    assert set(status.values()) == {("ok", None, None)}
+    # blocks stitched are the same as whole videos, in depth up to storage, in pose exactly
+    for branch, column, atol in (("depth", "depth", 3 / 65535), ("pose", "pose", 1e-5)):
+        one, two = ({(r["video_id"], r["frame_idx"]): r[column] for r in k.read(branch).collect()} for k in (blocked, whole))
+        assert one.keys() == two.keys() and len(one) == 75 and all(np.allclose(one[k], two[k], atol=atol) for k in one)
+    monkeypatch.setattr(models, "DEPTH_MODES", (*models.DEPTH_MODES, "brittle"))
+    status, brittle = run("brittle", "--depth_mode", "brittle")
+    assert status["bright"][:2] == ("failed", "depth") and "saturated" in status["bright"][2] and status["long"][0] == status["short"][0] == "ok"
+    done = {(r["video_id"], r["branch"]) for r in brittle.completion().where("complete").collect()}
+    assert done == {(v, b) for v in ("long", "short") for b in ("dino", "depth", "pose")} | {("bright", "dino")}
+    for mode in ("da3", "depth_pro"):
+        assert set(run(mode, "--depth_mode", mode, "--branches", "depth")[0].values()) == {("ok", None, None)}
+
+
+def test_validate_command(spark, tmp_path, monkeypatch):
+    from framelake import validation
+
+    ramp(tmp_path / "a.mp4")
+    report = tmp_path / "report.md"
+    assert validation.main(["--data_root", f"file://{tmp_path}", "--report", str(report), "--perf-frames", "6", "--frames-sweep", "3,5"], (video.RawReader,)) == 0
+    text = report.read_text()
+    assert "**PASS**" in text and "deterministic" in text and "sweep frames=3" in text and "a@5" in text and "ERROR" not in text
+    assert validation.main(["--skip-perf", "--report", str(report), "--depth_mode", "vda", "--branches", "depth"]) == 0
+    monkeypatch.setattr(models, "DEPTH_MODES", (*models.DEPTH_MODES, "brittle"))
+    assert validation.main(["--skip-perf", "--report", str(report), "--depth_mode", "brittle", "--branches", "depth"]) == 1
+    assert "saturated" in report.read_text()
+    with pytest.raises(SystemExit):
+        validation.main([])
+
+
+def test_exact_percentiles(spark):
+    rng = np.random.default_rng(1)
+    for x in (rng.normal(size=1000), np.repeat([1.0, 2.0, 7.0], 50), np.array([3.0]), np.zeros(0)):
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double").repartition(3)
+        got = vectors.exact_percentiles(df, "v", [0.02, 0.5, 0.98, 1.0])
+        assert got == [None] * 4 if not len(x) else np.allclose(got, np.quantile(x, [0.02, 0.5, 0.98, 1.0]))
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    nothing = SimpleNamespace(isDefined=lambda: False)
+    away = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: nothing))))
+    assert not session.is_local(away)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(away)
+
+
+def test_compose_keeps_the_scale_of_a_window_that_stands_still(spark):
+    """Window 1 is half as large as window 0's world; window 2, of one point, has scale 1 in that world."""
+    still = [(0, 1.0, np.eye(3), [0.0] * 3, [0.0] * 3, "similarity"), (1, 2.0, np.eye(3), [1.0, 0, 0], [0.0] * 3, "similarity"), (2, 1.0, np.eye(3), [0.0, 5, 0], [1.0, 1, 1], "rotation")]
+    df = spark.createDataFrame([("v", b, s, r.ravel().tolist(), t, m, k) for b, s, r, t, m, k in still], "video string, block long, s double, r array<double>, t array<double>, m array<double>, kind string")
+    got = {r["block"]: (r["s"], r["t"]) for r in similarity.compose(df, "video", "block").collect()}
+    # the mean point (1, 1, 1) meets (1, 6, 1) of window 1, which is (3, 12, 2) in the world
+    assert got[1] == (2.0, [1.0, 0.0, 0.0]) and got[2] == (1.0, [2.0, 11.0, 1.0])
