@@ -200,7 +200,7 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
 def test_compose_keeps_the_scale_of_a_window_that_stands_still(spark):
     """Window 1 is half as large as window 0's world; window 2, of one point, has scale 1 in that world."""
-    still = [(0, 1.0, np.eye(3), [0.0] * 3, [0.0] * 3, "similarity"), (1, 2.0, np.eye(3), [1.0, 0, 0], [0.0] * 3, "similarity"), (2, 1.0, np.eye(3), [0.0, 5, 0], [1.0, 1, 1], "rotation")]
+    still = [(0, 1.0, np.eye(3), [0.0] * 3, [0.0] * 3, "similarity"), (1, 2.0, np.eye(3), [1.0, 0.0, 0.0], [0.0] * 3, "similarity"), (2, 1.0, np.eye(3), [0.0, 5.0, 0.0], [1.0, 1.0, 1.0], "rotation")]
     df = spark.createDataFrame([("v", b, s, r.ravel().tolist(), t, m, k) for b, s, r, t, m, k in still], "video string, block long, s double, r array<double>, t array<double>, m array<double>, kind string")
     got = {r["block"]: (r["s"], r["t"]) for r in similarity.compose(df, "video", "block").collect()}
     # the mean point (1, 1, 1) meets (1, 6, 1) of window 1, which is (3, 12, 2) in the world
