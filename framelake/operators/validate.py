@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import platform
 import subprocess
+from collections.abc import Callable
 from datetime import UTC, datetime
 from functools import reduce
 from pathlib import Path
@@ -26,13 +27,29 @@ def finite(value: str) -> Column:
     return F.expr(f"bool_and({value} is not null and not isnan({value}) and abs({value}) < double('infinity'))")
 
 
+def number(x: Column) -> Column:
+    """A double as DuckDB writes it: the shortest digits that read back, an exponent below 1e-4 and from 1e16 only."""
+    return F.udf(lambda d: None if d is None else repr(d), "string")(x)
+
+
+def extreme(pick: Callable[[Column], Column], value: str) -> Column:
+    """The smallest or largest value (`pick`) to six places, as SQL writes it: what rounds to 0 keeps its sign. As
+    min and max take 0.0 and -0.0 for equal, a zero's sign is picked by itself, -0.0 below 0.0, whatever the rows' order."""
+    v = F.col(value).cast("double")
+    x = pick(v)
+    millionths = F.round(F.abs(x) * 1e6)
+    to_six = F.signum(x) * F.when(millionths < float("inf"), millionths / 1e6).otherwise(F.abs(x))
+    plus = pick(F.when(v == 0, v.cast("string") == "0.0"))
+    return F.when(x == 0, F.when(plus, "0.0").otherwise("-0.0")).otherwise(number(to_six))
+
+
 def check_values(rows: DataFrame, branch: str, value: str, low: float | None = None, high: float | None = None) -> DataFrame:
     """Finite, within range, not constant."""
     out = [check(rows, branch, "finite", "all finite", F.count_if(F.expr(f"{value} is null or isnan({value})")), finite(value))]
     if low is not None:
-        out.append(check(rows, branch, "min", f">= {low:g}", F.round(F.min(value), 6), F.min(value) >= low - 1e-6))
+        out.append(check(rows, branch, "min", f">= {low:g}", extreme(F.min, value), F.min(value) >= low - 1e-6))
     if high is not None:
-        out.append(check(rows, branch, "max", f"<= {high:g}", F.round(F.max(value), 6), F.max(value) <= high + 1e-6))
+        out.append(check(rows, branch, "max", f"<= {high:g}", extreme(F.max, value), F.max(value) <= high + 1e-6))
     out.append(check(rows, branch, "not constant", "std > 0", F.expr(f"stddev_pop({value}) > 0"), F.expr(f"stddev_pop({value}) > 0")))
     return reduce(DataFrame.unionByName, out)
 
